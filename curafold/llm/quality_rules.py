@@ -1,8 +1,8 @@
 """Operator 1, quality rules by weak supervision, in DataFrame functions only.
 
 Nine rules vote for a text (+1), against it (-1) or abstain (0). Votes are counted by pattern; there
-are at most 3^9 patterns however many documents, and expectation-maximisation (Dawid and Skene's model
-with one accuracy a rule) runs on these counts as Spark aggregations. The posterior is then a plain
+are at most 3^9 patterns however many documents, and expectation-maximisation (Dawid and Skene's model,
+where abstaining is an outcome too) runs on these counts as Spark aggregations. The posterior is then a plain
 expression over the votes, so that no join or second reading of the texts is needed.
 
 Defined cases: a null or empty text has no words, all counts zero and base_failed true. A null doc_id
@@ -13,6 +13,8 @@ arrays of window hashes, O(n log n) in the number of words.
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +22,8 @@ from .common import SPACES, WORD, staged, text_of
 
 WINDOW = 5
 SYMBOLS = r"[^#*$%&|<>]+"
-#: Prior share of good texts and accuracy of a rule, where EM starts.
-START = {"prior": 0.8, "accuracy": 0.85}
+#: Where EM starts: the share of good texts, and the chance of each vote on a good and on a bad text.
+PRIOR, START, PSEUDO = 0.85, {1: (0.8, 0.3), 0: (0.18, 0.35), -1: (0.02, 0.35)}, 10
 
 
 def _bound(value: Column, use) -> Column:
@@ -79,62 +81,62 @@ def features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 
 def rules() -> dict[str, Column]:
-    """Name to vote: +1 good, -1 bad, 0 abstains."""
+    """Name to vote: +1 good, -1 bad, 0 abstains. Most rules know one kind of junk and abstain otherwise."""
 
-    def vote(bad: Column, good: Column) -> Column:
-        return F.coalesce(F.when(bad, -1).when(good, 1), F.lit(0)).cast("int")
+    def vote(bad: Column, good: Column | None = None) -> Column:
+        cast = F.when(bad, -1)
+        return F.coalesce(cast if good is None else cast.when(good, 1), F.lit(0)).cast("int")
 
     words, chars = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("word_chars"), F.lit(1))
     return {
-        "length": vote(F.col("n_words") < 10, F.col("n_words") >= 40),
-        "repeats": vote(F.col("n_repeat_words") * 100 > words * 20, F.col("n_repeat_words") * 100 <= words * 5),
-        "symbols": vote(F.col("n_symbols") * 100 > chars * 10, F.col("n_symbols") * 100 <= chars * 3),
-        "lines": vote(F.col("n_dup_lines") * 100 > F.col("n_lines") * 30, F.col("n_dup_lines") * 100 <= F.col("n_lines") * 10),
-        "capitals": vote(F.col("n_upper") * 100 > chars * 40, F.col("n_upper") * 100 <= chars * 15),
-        "letters": vote(F.col("n_other") * 100 > chars * 30, F.col("n_other") * 100 <= chars * 15),
-        "shouts": vote(F.col("n_shouts") * 100 > words * 20, F.col("n_shouts") * 100 <= words * 5),
-        "word_length": vote(~F.col("word_chars").between(words * 2, words * 16), F.col("word_chars").between(words * 3, words * 12)),
-        "variety": vote(F.col("n_distinct_words") * 100 < F.least(words, F.lit(200)) * 15, F.col("n_distinct_words") * 100 > F.least(words, F.lit(200)) * 30),
+        "length": vote(F.col("n_words") < 10),
+        "repeats": vote(F.col("n_repeat_words") * 100 > words * 20),
+        "symbols": vote(F.col("n_symbols") * 100 > chars * 8, F.col("n_symbols") * 100 <= chars * 3),
+        "lines": vote(F.col("n_dup_lines") * 100 > F.col("n_lines") * 30),
+        "capitals": vote(F.col("n_upper") * 100 > chars * 30),
+        "letters": vote(F.col("n_other") * 100 > chars * 20, F.col("n_other") * 100 <= chars * 8),
+        "shouts": vote(F.col("n_shouts") * 100 > words * 15),
+        "word_length": vote(~F.col("word_chars").between(words * 2, words * 16)),
+        "variety": vote(F.col("n_distinct_words") * 100 < F.least(words, F.lit(200)) * 15),
     }
 
 
-def _logit(p: float) -> float:
-    from math import log
-
-    p = min(max(p, 1e-6), 1 - 1e-6)
-    return log(p / (1 - p))
-
-
-def posterior(names: list[str], prior: float, accuracy: dict[str, float]) -> Column:
-    """Probability that a text is good, given its votes: a naive Bayes sum over the votes cast."""
-    total = F.lit(_logit(prior))
+def posterior(names: list[str], prior: float, chance: dict[str, dict[int, tuple[float, float]]]) -> Column:
+    """Probability that a text is good, given its votes. chance: for each rule and vote (1, 0, -1) its
+    probability on a good and on a bad text."""
+    total = F.lit(log(prior / (1 - prior)))
     for name in names:
-        total = total + F.col(name) * F.lit(_logit(accuracy[name]))
+        weight = {vote: log(good / bad) for vote, (good, bad) in chance[name].items()}
+        total = total + F.when(F.col(name) == 1, weight[1]).when(F.col(name) == -1, weight[-1]).otherwise(weight[0])
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-def fit(votes: DataFrame, names: list[str], rounds: int = 12) -> tuple[float, dict[str, float]]:
-    """EM on the counts of vote patterns. Accuracies stay in [0.55, 0.99]: a rule is never worse than
-    chance, which fixes the sign that the likelihood alone leaves open. The driver holds one number a rule."""
+def fit(votes: DataFrame, names: list[str], rounds: int = 12) -> tuple[float, dict[str, dict[int, tuple[float, float]]]]:
+    """EM on the counts of vote patterns: the driver holds six numbers a rule.
+
+    A vote against stays at least twice as likely on bad texts, and a vote for at least as likely on good
+    ones, which fixes the sign that the likelihood alone leaves open."""
     patterns = staged(votes.groupBy(*names).agg(F.count("*").alias("n")), "vote_patterns").coalesce(1)
-    prior, accuracy = START["prior"], dict.fromkeys(names, START["accuracy"])
+    prior, chance = PRIOR, dict.fromkeys(names, START)
     for _ in range(rounds):
-        q = posterior(names, prior, accuracy)
-        sums = [F.sum(F.col("n")).alias("all"), F.sum(F.col("n") * F.col("q")).alias("good")]
+        q, n = F.col("q"), F.col("n")
+        sums = [F.sum(n).alias("all"), F.sum(n * q).alias("good")]
         for k in names:
-            right = F.when(F.col(k) == 1, F.col("q")).when(F.col(k) == -1, 1 - F.col("q")).otherwise(0.0)
-            sums += [F.sum(F.col("n") * right).alias(f"r_{k}"), F.sum(F.col("n") * F.abs(F.col(k))).alias(f"v_{k}")]
-        row = patterns.withColumn("q", q).agg(*sums).first()
+            for vote in START:
+                cast = n * (F.col(k) == vote).cast("int")
+                sums += [F.sum(cast * q).alias(f"good_{vote}_{k}"), F.sum(cast * (1 - q)).alias(f"bad_{vote}_{k}")]
+        row = patterns.withColumn("q", posterior(names, prior, chance)).agg(*sums).first()
         if not row["all"]:
             break
-        was = (prior, *accuracy.values())
-        prior = min(max(row["good"] / row["all"], 0.05), 0.95)
+        good, bad = row["good"], row["all"] - row["good"]
+        prior = min(max(good / row["all"], 0.05), 0.95)
         for k in names:
-            if row[f"v_{k}"]:
-                accuracy[k] = min(max((row[f"r_{k}"] + 1) / (row[f"v_{k}"] + 2), 0.55), 0.99)
-        if max(abs(a - b) for a, b in zip(was, (prior, *accuracy.values()), strict=True)) < 1e-4:
-            break
-    return prior, accuracy
+            # PSEUDO pseudo-texts of either kind vote as at the start: rules that hardly vote stay near it
+            new = {v: ((row[f"good_{v}_{k}"] + PSEUDO * g) / (good + PSEUDO), (row[f"bad_{v}_{k}"] + PSEUDO * b) / (bad + PSEUDO)) for v, (g, b) in START.items()}
+            new[-1] = (min(new[-1][0], new[-1][1] / 2), new[-1][1])
+            new[1] = (new[1][0], min(new[1]))
+            chance[k] = new
+    return prior, chance
 
 
 def quality_rules(docs: DataFrame, threshold: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -142,9 +144,9 @@ def quality_rules(docs: DataFrame, threshold: float = 0.5, doc_id: str = "doc_id
     table, names = rules(), list(rules())
     counted = staged(features(docs, doc_id, text), "quality_features")
     votes = counted.select("*", *[c.alias(k) for k, c in table.items()])
-    prior, accuracy = fit(votes, names)
+    prior, chance = fit(votes, names)
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
-    scored = votes.withColumn("quality", posterior(names, prior, accuracy)).withColumn("base_failed", failed)
+    scored = votes.withColumn("quality", posterior(names, prior, chance)).withColumn("base_failed", failed)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
 
 
