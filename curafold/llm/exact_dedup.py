@@ -1,9 +1,9 @@
 """Operator 9, exact deduplication, in DataFrame functions only.
 
-Rows are grouped by the 128-bit hash (md5) of the normalised text; only hashes travel. Texts of groups
-with two or more rows are then compared byte for byte: they are grouped by (hash, text), which Spark
-combines inside each task first, so a group of a third of all rows shuffles one text a task. A hash with
-two different texts is a collision, and its rows are divided by text.
+Rows are grouped by the 128-bit hash (md5) of the normalised text together with the text, so that Spark
+finds a group by its hash and compares bytes inside it: two texts that share a hash stay apart. The grouping
+combines inside each task first, so a group of a third of all rows shuffles one text a task. Rows then find
+their group by both hashes (md5 and sha256), without their texts; Spark can split that join on a hot key.
 
 Defined cases: a null text counts as empty. A null doc_id never wins over another id; a group of null
 ids only has keep_id null. Rows that repeat the smallest doc_id with the same text are the same document
@@ -27,22 +27,11 @@ def normalised(text: str = "text") -> Column:
 
 def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", content_hash: Callable[[Column], Column] = F.md5) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row. content_hash: another hash, for tests."""
-    whole = docs.select(F.col(doc_id).alias("doc_id"), normalised(text).alias("norm"))
-    hashed = staged(whole.select("doc_id", content_hash(F.col("norm")).alias("h"), F.sha2("norm", 256).alias("text_sha256")), "hashes")
-    groups = staged(hashed.groupBy("h").agg(F.count("*").alias("group_size"), F.min("doc_id").alias("keep_id")), "hash_groups")
-
-    several = groups.filter("group_size > 1").select("h")
-    again = whole.withColumn("h", content_hash(F.col("norm"))).join(several, "h", "left_semi")
-    texts = again.groupBy("h", "norm").agg(F.count("*").alias("group_size"), F.min("doc_id").alias("keep_id"))
-    clashes = staged(texts.groupBy("h").agg(F.count("*").alias("texts")).filter("texts > 1").select("h"), "clashes")
-
-    if clashes.isEmpty():
-        found = hashed.join(groups, "h")
-    else:
-        apart = whole.withColumn("h", content_hash(F.col("norm"))).join(clashes, "h", "left_semi").withColumn("text_sha256", F.sha2("norm", 256))
-        classes = texts.join(clashes, "h", "left_semi")
-        columns = ["doc_id", "text_sha256", "group_size", "keep_id"]
-        found = hashed.join(clashes, "h", "left_anti").join(groups, "h").select(*columns).union(apart.join(classes, ["h", "norm"]).select(*columns))
+    whole = docs.select(F.col(doc_id).alias("doc_id"), normalised(text).alias("norm")).withColumn("h", content_hash(F.col("norm")))
+    sha = F.sha2("norm", 256).alias("text_sha256")
+    groups = whole.groupBy("h", "norm").agg(F.count("*").alias("group_size"), F.min("doc_id").alias("keep_id")).select("h", sha, "group_size", "keep_id")
+    rows = whole.select("doc_id", "h", sha)
+    found = staged(rows, "hashes").join(staged(groups, "hash_groups"), ["h", "text_sha256"])
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     return found.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
 
