@@ -3,24 +3,31 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
 
-from .common import WORDS
+from .common import WORDS_BYTES
 
 #: Entries of a worker's cache of encoded words; it is emptied when full, so its memory is bounded.
-CACHE = 400_000
+CACHE = 600_000
 _encoders: dict[str, "WordEncoder"] = {}
 
 
+#: Stands between new words that are encoded in one call; words that contain it are encoded alone.
+FENCE = "\ue000"
+
+
 class WordEncoder:
     """Ids of a text as little-endian unsigned 32-bit bytes.
 
     The tokenizer's normaliser and splitter never join characters across white space, so a text's ids are
-    those of its words one after another, and each different word needs encoding once. `check` holds this
-    against the library for a file's first texts.
+    those of its words one after another, and each different word needs encoding once; A-Z are lowered
+    first, as the normaliser does (not where a special token's string may start). A last full stop or comma
+    after a letter is a part of its own. New words of letters go to the library as one text, in which each
+    ends with one end-of-word token; others have a fence between them whose ids are found again.
     """
 
     def __init__(self, path: str):
@@ -28,18 +35,67 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.fence = self._ids(FENCE)
+        vocabulary = self.tokenizer.get_vocab(True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.marks = {m: self._ids(m.decode()).tobytes() for m in (b".", b",")}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _letters(self, words: list[str]) -> list[bytes] | None:
+        ids = self._ids(" ".join(words))
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words):
+            return None
+        raw, cuts = ids.tobytes(), [0, *(4 * stops).tolist()]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _fenced(self, words: list[str]) -> list[bytes]:
+        ids = self._ids(f" {FENCE} ".join(words))
+        at = np.ones(len(ids), dtype=bool)
+        for k, x in enumerate(self.fence):
+            at[: len(ids) - k] &= ids[k:] == x
+            at[len(ids) - k :] = False
+        fences = np.flatnonzero(at).tolist()
+        raw, width = ids.tobytes(), 4 * len(self.fence)
+        if len(fences) != len(words) - 1:
+            raise ValueError("words can't be told apart in their joined text")
+        starts, stops = [0, *[4 * f + width for f in fences]], [*[4 * f for f in fences], len(raw)]
+        return [raw[a:b] for a, b in zip(starts, stops, strict=True)]
+
+    def _learn(self, words: set[bytes]) -> None:
+        known, marked, letters, others = self.known, [], [], []
+        todo = set(words)
+        for w in words:
+            if w[-1:] in self.marks and len(w) > 1 and (w[-2:-1].isalpha() or w[-2] > 127 and unicodedata.normalize("NFC", w[:-1].decode()[-1].lower())[-1].isalpha()):
+                marked.append(w)
+                todo.discard(w)
+                if w[:-1] not in known:
+                    todo.add(w[:-1])
+        for w in todo:
+            text = w.decode()
+            if FENCE in text:
+                known[w] = self._ids(text).tobytes()
+            else:
+                (letters if text.isalpha() else others).append((w, text))
+        for part, cut in ((letters, self._letters), (others, self._fenced)):
+            for k in range(0, len(part), 8192):
+                keys, texts = zip(*part[k : k + 8192], strict=True)
+                known.update(zip(keys, cut(list(texts)) or self._fenced(list(texts)), strict=True))
+        for w in marked:
+            known[w] = known[w[:-1]] + self.marks[w[-1:]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [WORDS.findall(t) for t in texts]
+        raw = [t.encode() for t in texts]
+        words = [WORDS_BYTES.findall(r if b"<|" in r else r.lower()) for r in raw]
         if len(self.known) > CACHE:
             self.known.clear()
         known = self.known
-        new = list({w for ws in words for w in ws if w not in known})
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        if new := set().union(*words).difference(known):
+            self._learn(new)
         return [b"".join([known[w] for w in ws]) for ws in words]
 
 
