@@ -53,14 +53,20 @@ class ByteBPE:
         return _codecs[path, pattern]
 
     def _short(self, data: bytes) -> list[int]:
-        """Merges of the lowest rank first, by scanning."""
-        ranks, parts = self.ranks, [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best, at = min((ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if best == 1 << 60:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+        """Merges of the lowest rank first, the leftmost of equal ones; ranks of pairs are kept beside the parts."""
+        rank, none = self.ranks.get, 1 << 60
+        parts = [data[i : i + 1] for i in range(len(data))]
+        pairs = [rank(data[i : i + 2], none) for i in range(len(data) - 1)]
+        while pairs and (low := min(pairs)) != none:
+            at = pairs.index(low)
+            merged = parts[at] + parts[at + 1]
+            parts[at : at + 2] = [merged]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = rank(parts[at - 1] + merged, none)
+            if at < len(pairs):
+                pairs[at] = rank(merged + parts[at + 1], none)
+        return [self.ranks[p] for p in parts]
 
     def _heaped(self, data: bytes) -> list[int]:
         """The same with a heap of pairs, O(n log n), for windows that had to grow."""
