@@ -25,23 +25,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORDS, documents, staged
+from .common import WORDS_BYTES, documents, staged
 from .tokens import default_path, slices
 
 HEAD, FLUSH, SMOOTHING = 100_000, 300_000, 0.1
 #: The end of a text as a word: no word can contain a space.
 END = " "
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+END_BYTES = END.encode()
+#: Factor a character on probabilities in the sums over segmentations, near their inverse.
+SCALE = 100.0
 MARK = "▁"
 _lattices: dict = {}
 
 
 class Lattice:
-    """Natural-log probabilities of pieces, and the recursions over a word."""
+    """Natural-log probabilities of pieces in a trie, and the recursions over a word."""
 
     def __init__(self, logs: dict[str, float], byte_logs: list[float]):
         self.logs, self.byte_logs = logs, byte_logs
-        self.prefixes = {p[:k] for p in logs for k in range(1, len(p) + 1)}
+        self.root: dict = {}  # a node: next character to node; "" to (piece, log probability, scaled probability)
+        for piece, x in logs.items():
+            node = self.root
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = (piece, x, math.exp(x) * SCALE ** len(piece))
 
     @classmethod
     def load(cls, path: str) -> "Lattice":
@@ -63,60 +70,89 @@ class Lattice:
         total = math.log(math.fsum(weights.values()) + math.fsum(bytes_))
         return cls({p: math.log(w) - total for p, w in weights.items()}, [math.log(w) - total for w in bytes_])
 
-    def arcs(self, text: str):
-        """For each end the arcs (start, piece or bytes, log probability)."""
-        into: list[list] = [[] for _ in range(len(text) + 1)]
-        for i in range(len(text)):
-            for j in range(i + 1, len(text) + 1):
-                piece = text[i:j]
-                if piece not in self.prefixes:
-                    break
-                if (x := self.logs.get(piece)) is not None:
-                    into[j].append((i, piece, x))
-            if text[i] not in self.logs:
-                raw = text[i].encode("utf-8", "surrogatepass")
-                into[i + 1].append((i, raw, sum(self.byte_logs[b] for b in raw)))
-        return into
+    def arcs(self, text: str, i: int) -> list:
+        """(end, piece or bytes, log probability, scaled probability) of what may start at i."""
+        found, node, n = [], self.root, len(text)
+        for j in range(i, n):
+            node = node.get(text[j])
+            if node is None:
+                break
+            if (leaf := node.get("")) is not None:
+                found.append((j + 1, *leaf))
+        if not found or found[0][0] > i + 1:
+            raw = text[i].encode("utf-8", "surrogatepass")
+            x = sum([self.byte_logs[b] for b in raw])
+            found.append((i + 1, raw, x, math.exp(x) * SCALE))
+        return found
 
     @staticmethod
     def _sum(logs: list[float]) -> float:
+        if len(logs) == 1:
+            return logs[0]
         most = max(logs)
-        return most if len(logs) == 1 else most + math.log(sum([math.exp(x - most) for x in logs]))
-
-    def forward(self, into) -> list[float]:
-        alpha = [0.0]
-        for arcs in into[1:]:
-            alpha.append(self._sum([alpha[i] + x for i, _, x in arcs]))
-        return alpha
+        return most + math.log(sum([math.exp(x - most) for x in logs]))
 
     def log10(self, word: str) -> float:
+        """Forward recursion in log space: the marginal over all segmentations."""
         if word == END:
             return self.logs[END] / math.log(10)
-        return self.forward(self.arcs(MARK + word))[-1] / math.log(10)
-
-    def expect(self, word: str, count: float, into_counts: Counter) -> None:
-        """Adds the expected number of uses of each piece in so many copies of the word."""
+        text = MARK + word
+        terms: list[list[float]] = [[0.0], *[[] for _ in text]]
+        for i in range(len(text)):
+            here = self._sum(terms[i])
+            for j, _, x, _ in self.arcs(text, i):
+                terms[j].append(here + x)
+        return self._sum(terms[-1]) / math.log(10)
+
+    def expect(self, word: str, count: float, uses: Counter) -> None:
+        """Adds the expected number of uses of each piece in so many copies of the word. Probabilities are scaled by
+        their lengths, which cancels; where that leaves the range of numbers the recursion is done with logarithms."""
         if word == END:
-            into_counts[END] += count
+            uses[END] += count
             return
-        into = self.arcs(MARK + word)
-        alpha = self.forward(into)
-        beta: list[list[float]] = [[] for _ in into]
-        beta[-1] = [0.0]
-        for j in range(len(into) - 1, 0, -1):
-            b = self._sum(beta[j])
-            for i, piece, x in into[j]:
-                beta[i].append(x + b)
-                share = count * math.exp(alpha[i] + x + b - alpha[-1])
-                if isinstance(piece, bytes):
-                    for byte in piece:
-                        into_counts[f"<0x{byte:02X}>"] += share
-                else:
-                    into_counts[piece] += share
-
-
-def _words(text: str) -> list[str]:
-    return [*WORDS.findall(text.translate(LOWER)), END]
+        text = MARK + word
+        n = len(text)
+        arcs = [self.arcs(text, i) for i in range(n)]
+        alpha, beta = [1.0, *[0.0] * n], [*[0.0] * n, 1.0]
+        for i in range(n):
+            here = alpha[i]
+            for j, _, _, p in arcs[i]:
+                alpha[j] += here * p
+        if not 1e-290 < alpha[n] < 1e290 or not all([1e-290 < x < 1e290 for x in alpha]):
+            return self._expect_in_logs(arcs, n, count, uses)
+        whole = count / alpha[n]
+        for i in range(n - 1, -1, -1):
+            here, total = alpha[i] * whole, 0.0
+            for j, piece, _, p in arcs[i]:
+                rest = p * beta[j]
+                total += rest
+                self._use(uses, piece, here * rest)
+            beta[i] = total
+
+    def _expect_in_logs(self, arcs: list, n: int, count: float, uses: Counter) -> None:
+        into: list[list[float]] = [[0.0], *[[] for _ in range(n)]]
+        alpha, beta = [], [0.0] * (n + 1)
+        for i in range(n + 1):
+            alpha.append(self._sum(into[i]))
+            for j, _, x, _ in arcs[i] if i < n else ():
+                into[j].append(alpha[i] + x)
+        for i in range(n - 1, -1, -1):
+            beta[i] = self._sum([x + beta[j] for j, _, x, _ in arcs[i]])
+            for j, piece, x, _ in arcs[i]:
+                self._use(uses, piece, count * math.exp(alpha[i] + x + beta[j] - alpha[n]))
+
+    @staticmethod
+    def _use(uses: Counter, piece, share: float) -> None:
+        if piece.__class__ is bytes:
+            for byte in piece:
+                uses[f"<0x{byte:02X}>"] += share
+        else:
+            uses[piece] += share
+
+
+def _words(text: str) -> list[bytes]:
+    """Tokens in UTF-8; bytes.lower changes A-Z only."""
+    return [*WORDS_BYTES.findall(text.encode().lower()), END_BYTES]
 
 
 def _held_out():
@@ -128,7 +164,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         seen: Counter = Counter()
-        other: set[str] = set()
+        other: set[bytes] = set()
 
         def out():
             only = [w for w in other if w not in seen]
@@ -186,37 +222,39 @@ def score_documents(docs: DataFrame, vocabulary: str, head: int = HEAD, doc_id:
     base = lambda c: math.log10((c + SMOOTHING) / divisor)
 
     def run(batches):
-        known = {w: (base(c), lp, c > 0) for w, (c, lp) in top.value.items()}
-        names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"]
-        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))]
+        known = {w.encode(): (base(c), lp, c > 0) for w, (c, lp) in top.value.items()}
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "words", "counts"]
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         for batch in batches:
-            ids, held = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for at, texts in slices(batch):
-                out = []
-                for k, t in enumerate(texts):
-                    words = _words(t)
-                    uses, own = Counter(words), []
-                    b, s, rare = [], [], []
-                    for w, n in uses.items():
+                out, rare, times, ends = [], [], [], [0]
+                for t in texts:
+                    tokens = _words(t)
+                    found, own = [], 0
+                    for w, n in Counter(tokens).items():
                         if (x := known.get(w)) is None:
-                            rare.append({"word": w, "n": n})
+                            rare.append(w)
+                            times.append(n)
                         else:
-                            b.append(n * x[0])
-                            s.append(n * x[1])
-                            own.append(n * x[2])
-                    out.append((ids[at + k], held[at + k], len(words), sum(own), math.fsum(b), math.fsum(s), rare))
-                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)], names)
-
-    struct = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<struct<word:string,n:int>>"
+                            found.append((n * x[0], n * x[1]))
+                            own += n * x[2]
+                    ends.append(len(rare))
+                    b, s = zip(*found, strict=True) if found else ((), ())
+                    out.append((len(tokens), own, math.fsum(b), math.fsum(s)))
+                columns = [batch.column(c).slice(at, len(texts)) for c in (0, 2)] + [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+                lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, kind)) for x, kind in ((rare, pa.string()), (times, pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns + lists, names)
+
+    struct = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, words array<string>, counts array<int>"
     parts = staged(rows.mapInArrow(run, struct).withColumn("_row", F.monotonically_increasing_id()), "document_scores")
-    rare = parts.select("_row", F.explode("rare").alias("r")).select("_row", "r.word", "r.n").join(weighed, "word")
+    rare = parts.select("_row", F.explode(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("n"))).alias("r")).select("_row", "r.word", "r.n").join(weighed, "word")
     c = F.col("c")
     sums = rare.groupBy("_row").agg(
         F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("k"),
         F.sum(F.col("n") * F.log10((c + SMOOTHING) / F.lit(divisor))).alias("b"),
         F.sum(F.col("n") * F.col("lp")).alias("s"),
     )
-    whole = parts.drop("rare").join(sums, "_row", "left")
+    whole = parts.drop("words", "counts").join(sums, "_row", "left")
     add = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
     return whole.select("doc_id", "held_out", "n_tokens", add("n_known", "k").cast("long").alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), add("base_score", "b").alias("base_score"), add("score", "s").alias("score"))
 
