@@ -159,13 +159,15 @@ def redacted(text: Column, spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with personal data in text replaced; n_chars follows if there is such a column."""
-    others = tuple(c for c in docs.columns if c != doc_id)
-    found = personal_data(docs, doc_id, text, keep=others)
-    clean = F.when(F.size("all_spans") > 0, redacted(F.col(text), F.col("all_spans"))).otherwise(F.col(text))
-    out = found.withColumn(text, clean).withColumnRenamed("doc_id", doc_id)
+    """docs with personal data in text replaced; n_chars follows if there is such a column.
+
+    Spans depend on a text alone, so rows find them by their text's hash; only texts with spans have a row there."""
+    hashed = docs.withColumn("_hash", F.sha2(text_of(text), 256))
+    found = personal_data(hashed, doc_id, text, keep=("_hash",)).filter(F.size("all_spans") > 0).select("_hash", "all_spans").dropDuplicates(["_hash"])
+    joined = hashed.join(staged(found, "texts_with_spans"), "_hash", "left")
+    out = joined.withColumn(text, F.when(F.col("all_spans").isNotNull(), redacted(F.col(text), F.col("all_spans"))).otherwise(F.col(text)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("all_spans") > 0, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col("all_spans").isNotNull(), F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 
