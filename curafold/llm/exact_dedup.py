@@ -39,7 +39,7 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", con
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns; of repeated rows one."""
     stay = staged(exact_dedup(docs, doc_id, text).filter("kept").select(F.col("doc_id").alias("_stay")), "stay")
-    kept = docs.join(stay.distinct(), docs[doc_id].eqNullSafe(F.col("_stay")), "left_semi")
+    kept = docs.join(stay.distinct().hint("shuffle_hash"), docs[doc_id].eqNullSafe(F.col("_stay")), "left_semi")
     repeated = stay.groupBy("_stay").count().filter("count > 1")
     return kept if repeated.isEmpty() else kept.dropDuplicates([doc_id])
 

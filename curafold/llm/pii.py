@@ -164,7 +164,7 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     Spans depend on a text alone, so rows find them by their text's hash; only texts with spans have a row there."""
     hashed = docs.withColumn("_hash", F.sha2(text_of(text), 256))
     found = personal_data(hashed, doc_id, text, keep=("_hash",)).filter(F.size("all_spans") > 0).select("_hash", "all_spans").dropDuplicates(["_hash"])
-    joined = hashed.join(staged(found, "texts_with_spans"), "_hash", "left")
+    joined = hashed.join(staged(found, "texts_with_spans").hint("shuffle_hash"), "_hash", "left")
     out = joined.withColumn(text, F.when(F.col("all_spans").isNotNull(), redacted(F.col(text), F.col("all_spans"))).otherwise(F.col(text)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("all_spans").isNotNull(), F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
