@@ -28,7 +28,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the row with the smallest doc_id stays."""
     groups = simhash.near_duplicates(docs)
     stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(F.col("_stay")), "left_semi")
+    return docs.join(stay.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col("_stay")), "left_semi")
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
