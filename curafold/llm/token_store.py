@@ -177,7 +177,7 @@ def fetch(spark: SparkSession, path: str, wanted: list[int]) -> dict[int, list[i
     content, only = _load(spark, path), set(wanted)
     near = F.lit(False)
     for x in only:
-        near = near | ((F.col("first_id") <= x) & (F.col("last_id") >= x))
+        near = near | ((F.col("first_id").isNull() | (F.col("first_id") <= x)) & (F.col("last_id") >= x))  # null ids come first
     blocks = spark.read.parquet(f"{path}/blocks").filter(near & F.arrays_overlap("doc_ids", F.array(*map(F.lit, only)).cast("array<bigint>"))) if only else None
     if blocks is None:
         return {}
