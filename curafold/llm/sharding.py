@@ -47,40 +47,45 @@ def smallest_capacity(sizes: np.ndarray, shards: int) -> int:
 
 
 def minimax_cuts(groups: DataFrame, shards: int, buckets: int = BUCKETS) -> list[int]:
-    """Keys at which shards 1, 2, ... start. groups: key (one row each), size."""
+    """Keys at which shards 1, 2, ... start. groups: key (one row each), size.
+
+    Keys are counted in aligned intervals of a power of two. Only intervals that some feasible cut can reach are
+    halved on, widest first, about `buckets` at a time, until they hold one key; the others count as atoms."""
     ends = groups.agg(F.min("key"), F.max("key")).first()
     if ends[0] is None:
         return []
-    low, high = ends[0], ends[1] + 1
-    spans = [(low, high)]  # intervals still to be looked into
-    known: dict[tuple[int, int], tuple[int, int]] = {}  # interval: (bytes, largest group)
-    while spans:
-        step = max(1, -(-sum(b - a for a, b in spans) // buckets))
-        inside = F.lit(False)
-        for a, b in _merged(spans):
-            inside = inside | ((F.col("key") >= a) & (F.col("key") < b))
-        place = F.floor((F.col("key") - F.lit(low)) / F.lit(step)).cast("long")
-        for k, total, most in groups.filter(inside).groupBy(place.alias("k")).agg(F.sum("size"), F.max("size")).collect():
-            known[low + k * step, low + (k + 1) * step] = (int(total), int(most))
-        if step == 1:
-            break
+    bits = max(1, buckets.bit_length() - 1)
+    shift, inside = max(0, (ends[1] - ends[0]).bit_length() - bits), F.lit(True)
+    known: dict[int, tuple[int, int, int]] = {}  # first key of an interval: (shift, bytes, largest group)
+    while True:
+        for k, total, most in groups.filter(inside).groupBy(F.shiftright("key", shift).alias("k")).agg(F.sum("size"), F.max("size")).collect():
+            known[int(k) << shift] = (shift, int(total), int(most))
         order = sorted(known)
-        totals = np.array([known[x][0] for x in order], dtype=np.int64)
-        floor = max(max(x[1] for x in known.values()), -(-int(totals.sum()) // shards))
-        roof = smallest_capacity(totals, shards)  # intervals as atoms: feasible for sure
-        ends_at, open_spans, slowest = np.cumsum(totals), set(), 0
-        for k in range(1, shards):
-            slowest = int(ends_at[min(np.searchsorted(ends_at, slowest + floor, side="right"), len(order)) - 1]) if slowest + floor >= ends_at[0] else 0
-            first, last = np.searchsorted(ends_at, slowest, side="left"), np.searchsorted(ends_at, min(k * roof, int(ends_at[-1])), side="left")
-            open_spans.update(range(max(int(first) - 1, 0), min(int(last) + 1, len(order))))
-        spans = [order[k] for k in sorted(open_spans) if order[k][1] - order[k][0] > 1 and known[order[k]][0] > 0]
-        for x in spans:
+        totals = np.array([known[x][1] for x in order], dtype=np.int64)
+        wide = [x for x in (order[k] for k in _reached(totals, max(x[2] for x in known.values()), shards)) if known[x][0]]
+        if not wide:
+            return [order[k] for k in cuts_of(totals, smallest_capacity(totals, shards), shards) or []]
+        widest = max(known[x][0] for x in wide)
+        now = [x for x in wide if known[x][0] == widest]
+        for x in now:
             del known[x]
-        if spans:
-            low = min(a for a, _ in spans)
-    order = sorted(known)
-    sizes = np.array([known[x][0] for x in order], dtype=np.int64)
-    return [order[k][0] for k in cuts_of(sizes, smallest_capacity(sizes, shards), shards) or []]
+        shift, inside = max(0, widest - max(1, bits - (len(now) - 1).bit_length())), F.lit(False)
+        for first, end in _merged([(x, x + (1 << widest)) for x in now]):
+            inside = inside | F.col("key").between(first, end - 1)
+
+
+def _reached(totals: np.ndarray, largest: int, shards: int) -> list[int]:
+    """Places of the intervals that may hold a cut for any capacity from the least thinkable to one known to do."""
+    ends, last = np.cumsum(totals), len(totals)
+    floor, roof = max(largest, -(-int(ends[-1]) // shards)), smallest_capacity(totals, shards)
+    found: set[int] = set()
+    before = 0  # no cut so far is earlier than this many bytes
+    for k in range(1, shards):
+        over = min(int(np.searchsorted(ends, before + floor, side="right")), last - 1)
+        before = int(ends[over - 1]) if over else 0
+        latest = int(np.searchsorted(ends, min(k * roof, int(ends[-1])), side="left"))
+        found.update(range(max(over - 1, 0), min(latest + 2, last)))
+    return sorted(found)
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -148,6 +148,18 @@ def test_lm_scoring(docs, rows, none):
     assert lm_scoring.score_documents(none, public_tokenizers.path("piece_bpe_32k.model")).count() == 0
 
 
+@pytest.mark.parametrize("buckets, wide", [(16, 1 << 12), (1 << 16, 1 << 62)])
+def test_cuts_are_the_best(spark, buckets, wide):
+    rng = random.Random(buckets)
+    for spread, shards in ((10, 3), (wide, 7)):
+        groups = {rng.randint(-spread, spread): rng.choice([1, 5, 40]) for _ in range(60)}
+        keys = sorted(groups)
+        sizes = np.array([groups[k] for k in keys])
+        cuts = sharding.minimax_cuts(spark.createDataFrame(list(groups.items()), "key long, size long").coalesce(1), shards, buckets)
+        shard = np.searchsorted(cuts, keys, side="right")
+        assert len(cuts) < shards and max(np.bincount(shard, sizes)) == sharding.smallest_capacity(sizes, shards)
+
+
 def test_sharding(docs, rows, none):
     out = sharding.shard(docs, shards=7, buckets=16).toPandas()
     assert len(out) == len(rows) and all(sorted(g.slot) == list(range(len(g))) for _, g in out.groupby("shard"))
