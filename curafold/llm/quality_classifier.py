@@ -147,10 +147,14 @@ class CoTrained:
         start = np.array([1.0, 0.5, 0.0])
         w = start.copy()
         design = np.column_stack([x, np.ones(len(x))])
+        loss = lambda w: np.logaddexp(0, design @ w).sum() - target @ (design @ w) + ((w - start) ** 2).sum() / 2
         for _ in range(50):
             p = _sigmoid(design @ w)
             hessian = design.T @ (design * (p * (1 - p))[:, None]) + np.eye(3)
-            w -= np.linalg.solve(hessian, design.T @ (p - target) + (w - start))
+            step = np.linalg.solve(hessian, design.T @ (p - target) + (w - start))
+            while loss(w - step) > loss(w) and np.abs(step).max() > 1e-9:  # where p is near 0 or 1 a whole step goes too far
+                step /= 2
+            w = w - step
         self.mix = w
         return self
 
