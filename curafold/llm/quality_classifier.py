@@ -22,10 +22,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORDS, documents, staged
+from .common import WORDS, documents
 from .tokens import CACHE, slices
 
 LABELLED, UNLABELLED, ROUNDS, SURE, SHARE = 6000, 3000, 3, 0.97, 0.05
@@ -70,9 +70,12 @@ def metadata_features(text: str, lang: str | None, source: str | None) -> np.nda
     return np.array(sorted({_slot(*v) for v in values}), dtype=np.int32)
 
 
+def _metadata(docs: DataFrame) -> list[Column]:
+    return [(F.col(c) if c in docs.columns else F.lit(None)).cast("string").alias(c) for c in ("lang", "source")]
+
+
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    other = [F.col(c).cast("string").alias(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in ("lang", "source")]
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *other)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *_metadata(docs))
 
 
 class Linear:
@@ -193,6 +196,16 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return models
 
 
+def _judged(models: dict[str, CoTrained], texts: list[str], langs: list[str | None], sources: list[str | None]) -> tuple[list[float], list[float | None], list[bool]]:
+    """Quality, toxicity and verdict of each text."""
+    good, bad = [], []
+    for t, lang, source in zip(texts, langs, sources, strict=True):
+        seen = content_features(t), metadata_features(t, lang, source)
+        good.append(models["quality"].probability(*seen) if "quality" in models else 0.5)
+        bad.append(models["toxic"].probability(*seen) if "toxic" in models else None)
+    return good, bad, [g >= 0.5 and (b is None or b < 0.5) for g, b in zip(good, bad, strict=True)]
+
+
 def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, quality, toxicity (probabilities), kept of each row."""
     models = train(docs, labels, doc_id, text)
@@ -201,21 +214,24 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
         for batch in batches:
             langs, sources = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for at, texts in slices(batch):
-                good, bad = [], []
-                for k, t in enumerate(texts):
-                    seen = content_features(t), metadata_features(t, langs[at + k], sources[at + k])
-                    good.append(models["quality"].probability(*seen) if "quality" in models else 0.5)
-                    bad.append(models["toxic"].probability(*seen) if "toxic" in models else None)
-                kept = [g >= 0.5 and (b is None or b < 0.5) for g, b in zip(good, bad, strict=True)]
+                good, bad, kept = _judged(models, texts, langs[at : at + len(texts)], sources[at : at + len(texts)])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(good, pa.float64()), pa.array(bad, pa.float64()), pa.array(kept, pa.bool_())], ["doc_id", "quality", "toxicity", "kept"])
 
     return _rows(docs, doc_id, text).mapInArrow(run, "doc_id long, quality double, toxicity double, kept boolean")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that the classifier keeps, with all their columns; a repeated id goes if one of its texts does."""
-    gone = staged(classify(docs, labels, doc_id, text).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "rejected")
-    return docs.join(gone, docs[doc_id].eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of docs that the classifier keeps, with all their columns; each row is judged where it is read, without a shuffle."""
+    models = train(docs, labels, doc_id, text)
+
+    @F.arrow_udf("boolean")
+    def kept(texts: pa.Array, langs: pa.Array, sources: pa.Array) -> pa.Array:
+        batch, verdicts = pa.RecordBatch.from_arrays([langs, texts, sources], ["lang", "text", "source"]), []
+        for at, part in slices(batch):
+            verdicts += _judged(models, part, langs.slice(at, len(part)).to_pylist(), sources.slice(at, len(part)).to_pylist())[2]
+        return pa.array(verdicts, pa.bool_())
+
+    return docs.filter(kept(F.col(text), *_metadata(docs)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
