@@ -30,6 +30,8 @@ from .tokens import CACHE, slices
 
 LABELLED, UNLABELLED, ROUNDS, SURE, SHARE = 6000, 3000, 3, 0.97, 0.05
 DIMENSIONS, SELECTED, HELD_BACK, SEED = 1 << 20, 4096, 5, 17
+#: Standard errors a feature must stand out by: of tens of thousands of words few do so by chance.
+TELLING = 4.0
 LABELS = ("quality", "toxic")
 _words: dict[str, tuple[int, ...]] = {}
 
@@ -86,18 +88,19 @@ class Linear:
 
     def fit(self, sets: list[np.ndarray], y: np.ndarray) -> "Linear":
         flat, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-        positive = y.sum()
+        positive, n = y.sum(), len(y)
         with_1 = np.bincount(flat, weights=y[of], minlength=DIMENSIONS)
-        with_0 = np.bincount(flat, minlength=DIMENSIONS) - with_1
-        odds = np.log((with_1 + 0.5) / (positive + 1)) - np.log((with_0 + 0.5) / (len(y) - positive + 1))
-        telling = np.abs(odds) * np.sqrt(with_1 + with_0)
-        telling[with_1 + with_0 < 2] = 0
-        self.slots = np.sort(np.argsort(-telling, kind="stable")[:SELECTED][telling[np.argsort(-telling, kind="stable")[:SELECTED]] > 1]).astype(np.int32)
+        with_any = np.bincount(flat, minlength=DIMENSIONS)
+        share = positive / n
+        # standard errors between the positive rows with a feature and those that chance would give it
+        spread = np.sqrt(np.maximum(with_any * share * (1 - share) * (1 - with_any / (n + 1)), 1e-9))
+        telling = np.where(with_any < 2, 0.0, np.abs(with_1 - with_any * share) / spread)
+        most = np.argsort(-telling, kind="stable")[:SELECTED]
+        self.slots = np.sort(most[telling[most] > TELLING]).astype(np.int32)
         at = np.searchsorted(self.slots, flat)
         inside = at < len(self.slots)
         inside[inside] = self.slots[at[inside]] == flat[inside]
         cols, rows = at[inside], of[inside]
-        n = len(y)
         w, b = np.zeros(len(self.slots)), math.log((positive + 1) / (n - positive + 1))
         squares, square = np.full(len(w), 1e-6), 1e-6
         for _ in range(150):
