@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curafold.llm import exact_dedup, packing, pii, quality_classifier, simhash
-from curafold.llm.common import documents, staged
+from curafold.llm.common import documents, having_ids, staged
 from curafold.llm.tokens import default_path
 
 
@@ -27,8 +27,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the row with the smallest doc_id stays."""
     groups = simhash.near_duplicates(docs)
-    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct()
-    return docs.join(stay.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col("_stay")), "left_semi")
+    return having_ids(docs, groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"))
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

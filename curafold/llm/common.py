@@ -57,5 +57,20 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """name, with as many underscores before it as make it differ from all columns of df."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def having_ids(docs: DataFrame, ids: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """The rows of docs whose id, null included, is among those of the one column of ids; the same join at every size."""
+    name = unused(docs, "_stay")
+    stay = ids.toDF(name).distinct().hint("shuffle_hash")
+    return docs.join(stay, docs[doc_id].eqNullSafe(stay[name]), "left_semi")
+
+
 def utf8(value) -> bytes:
     return value.as_buffer().to_pybytes() if value.is_valid else b""

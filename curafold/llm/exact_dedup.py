@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, documents, staged, text_of
+from .common import SPACES, documents, having_ids, staged, text_of
 
 
 def normalised(text: str = "text") -> Column:
@@ -38,9 +38,9 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", con
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns; of repeated rows one."""
-    stay = staged(exact_dedup(docs, doc_id, text).filter("kept").select(F.col("doc_id").alias("_stay")), "stay")
-    kept = docs.join(stay.distinct().hint("shuffle_hash"), docs[doc_id].eqNullSafe(F.col("_stay")), "left_semi")
-    repeated = stay.groupBy("_stay").count().filter("count > 1")
+    stay = staged(exact_dedup(docs, doc_id, text).filter("kept").select("doc_id"), "stay")
+    kept = having_ids(docs, stay, doc_id)
+    repeated = stay.groupBy("doc_id").count().filter("count > 1")
     return kept if repeated.isEmpty() else kept.dropDuplicates([doc_id])
 
 

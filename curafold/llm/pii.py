@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, staged, text_of
+from .common import documents, staged, text_of, unused
 
 KINDS = ["email", "ip", "card", "phone", "id"]
 #: The contract's patterns, with starts and repeats that can't backtrack.
@@ -162,12 +162,13 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     """docs with personal data in text replaced; n_chars follows if there is such a column.
 
     Spans depend on a text alone, so rows find them by their text's hash; only texts with spans have a row there."""
-    hashed = docs.withColumn("_hash", F.sha2(text_of(text), 256))
-    found = personal_data(hashed, doc_id, text, keep=("_hash",)).filter(F.size("all_spans") > 0).select("_hash", "all_spans").dropDuplicates(["_hash"])
-    joined = hashed.join(staged(found, "texts_with_spans").hint("shuffle_hash"), "_hash", "left")
-    out = joined.withColumn(text, F.when(F.col("all_spans").isNotNull(), redacted(F.col(text), F.col("all_spans"))).otherwise(F.col(text)))
+    h, spans = unused(docs, "_hash"), unused(docs, "_spans")
+    hashed = docs.withColumn(h, F.sha2(text_of(text), 256))
+    found = personal_data(hashed, doc_id, text, keep=(h,)).filter(F.size("all_spans") > 0).select(h, F.col("all_spans").alias(spans)).dropDuplicates([h])
+    out = hashed.join(staged(found, "texts_with_spans").hint("shuffle_hash"), h, "left")
+    out = out.withColumn(text, F.when(F.col(spans).isNotNull(), redacted(F.col(text), F.col(spans))).otherwise(F.col(text)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("all_spans").isNotNull(), F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col(spans).isNotNull(), F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 
