@@ -72,5 +72,15 @@ def having_ids(docs: DataFrame, ids: DataFrame, doc_id: str = "doc_id") -> DataF
     return docs.join(stay, docs[doc_id].eqNullSafe(stay[name]), "left_semi")
 
 
+def having_rows(docs: DataFrame, rows: DataFrame, content: Column, doc_id: str = "doc_id") -> DataFrame:
+    """The rows of docs whose id, null included, and content are a row of the two columns of rows; of rows equal in both one. The same join at every size."""
+    own, stay, held = (unused(docs, c) for c in ("_content", "_stay", "_held"))
+    keys = rows.toDF(stay, held)
+    marked, once = docs.withColumn(own, content), keys.distinct().hint("shuffle_hash")
+    kept = marked.join(once, marked[doc_id].eqNullSafe(once[stay]) & (marked[own] == once[held]), "left_semi")
+    repeated = keys.groupBy(stay, held).count().filter("count > 1")
+    return (kept if repeated.isEmpty() else kept.dropDuplicates([doc_id, own])).drop(own)
+
+
 def utf8(value) -> bytes:
     return value.as_buffer().to_pybytes() if value.is_valid else b""

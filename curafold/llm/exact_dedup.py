@@ -7,7 +7,8 @@ their group by both hashes (md5 and sha256), without their texts; Spark can spli
 
 Defined cases: a null text counts as empty. A null doc_id never wins over another id; a group of null
 ids only has keep_id null. Rows that repeat the smallest doc_id with the same text are the same document
-and all stay in this report (`deduplicate` leaves one). An empty table gives an empty table. Other
+and all stay in this report (`deduplicate` leaves one; it decides on id and text, so rows with null or shared
+ids and different texts all stay). An empty table gives an empty table. Other
 columns aren't read here and are carried unchanged by `deduplicate`.
 """
 
@@ -18,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, documents, having_ids, staged, text_of
+from .common import SPACES, documents, having_rows, staged, text_of
 
 
 def normalised(text: str = "text") -> Column:
@@ -37,11 +38,9 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", con
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns; of repeated rows one."""
-    stay = staged(exact_dedup(docs, doc_id, text).filter("kept").select("doc_id"), "stay")
-    kept = having_ids(docs, stay, doc_id)
-    repeated = stay.groupBy("doc_id").count().filter("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates([doc_id])
+    """The rows of docs that stay, with all their columns; of rows repeated in id and normalised text one."""
+    stay = staged(exact_dedup(docs, doc_id, text).filter("kept").select("doc_id", "text_sha256"), "stay")
+    return having_rows(docs, stay, F.sha2(normalised(text), 256), doc_id)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
