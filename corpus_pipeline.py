@@ -7,10 +7,9 @@ as Parquet in the shared folder and read again as the next one's input.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from curafold.llm import exact_dedup, packing, pii, quality_classifier, simhash
-from curafold.llm.common import documents, having_ids, staged
+from curafold.llm import exact_dedup, near_texts, packing, pii, quality_classifier
+from curafold.llm.common import documents, staged
 from curafold.llm.tokens import default_path
 
 
@@ -25,9 +24,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the row with the smallest doc_id stays."""
-    groups = simhash.near_duplicates(docs)
-    return having_ids(docs, groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"))
+    """Of each group of near duplicates, by five-word shingles, the row with the smallest doc_id stays."""
+    return near_texts.deduplicate(docs)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,13 +65,6 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def having_ids(docs: DataFrame, ids: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The rows of docs whose id, null included, is among those of the one column of ids; the same join at every size."""
-    name = unused(docs, "_stay")
-    stay = ids.toDF(name).distinct().hint("shuffle_hash")
-    return docs.join(stay, docs[doc_id].eqNullSafe(stay[name]), "left_semi")
-
-
 def having_rows(docs: DataFrame, rows: DataFrame, content: Column, doc_id: str = "doc_id") -> DataFrame:
     """The rows of docs whose id, null included, and content are a row of the two columns of rows; of rows equal in both one. The same join at every size."""
     own, stay, held = (unused(docs, c) for c in ("_content", "_stay", "_held"))
