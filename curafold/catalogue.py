@@ -275,9 +275,13 @@ def _boxes(t):
     return t.lineitem.select(F.col("l_orderkey").alias("image"), (F.col("l_linenumber") * F.lit(1000000000000) + p * 1000000 + s).alias("det"), (p % 4).alias("cls"), (F.col("l_discount") * 8).alias("conf"), x.alias("x1"), y.alias("y1"), (x + 8 + s % 11).alias("x2"), (y + 8 + p % 13).alias("y2"))
 
 
-def _truths(t):
+def _labels(t):
     d = F.col("det") % 3
-    return _boxes(t).filter("det % 4 <> 0").select("image", F.col("det").alias("lab"), "cls", (F.col("x1") + 1).alias("x1"), (F.col("y1") + d).alias("y1"), (F.col("x2") + 1).alias("x2"), (F.col("y2") + d).alias("y2"))
+    return _boxes(t).select("image", F.col("det").alias("lab"), "cls", (F.col("x1") + 1).alias("x1"), (F.col("y1") + d).alias("y1"), (F.col("x2") + 1).alias("x2"), (F.col("y2") + d).alias("y2"))
+
+
+def _truths(t):
+    return _labels(t).filter("lab % 4 <> 0")
 
 
 def _xyxy(p=""):
@@ -348,7 +352,7 @@ def nms(t):
 @query()
 def hungarian_attach(t):
     centre = lambda df, key: df.select("image", F.col(key).alias("id"), ((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y"))
-    return E.attach(centre(_boxes(t).filter("det % 2 = 0"), "det"), centre(_truths(t), "lab"))
+    return E.attach(centre(_boxes(t), "det"), centre(_labels(t), "lab"))
 
 
 @query("""WITH g AS (SELECT p_partkey, p_size * 30 AS w FROM part) SELECT p_partkey, x::bigint AS x FROM g, LATERAL (SELECT unnest(list_distinct(list_append(CASE WHEN w > 256 THEN range(0, w - 255, 224) ELSE [0] END, greatest(w - 256, 0)))) AS x)""")
