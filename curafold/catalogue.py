@@ -411,6 +411,19 @@ def mvg_stats(t):
     return V.moments(t.embeddings.select(F.slice("embedding", 1, 8).alias("v")), "v").select("i", "j", _r("covariance", "covariance", 8))
 
 
+# the two above over all places, and with the means
+
+@query("SELECT vec_id, (i - 1)::int AS pos, round(embedding[i]::double, 6) AS score FROM embeddings, LATERAL (SELECT unnest(range(1, len(embedding) + 1)) AS i)")
+def explode_detections_whole(t):
+    return t.embeddings.select("vec_id", F.posexplode("embedding").alias("pos", "x")).select("vec_id", "pos", _r(F.col("x").cast("double"), "score"))
+
+
+@query(f"""WITH {_VEC}, x AS (SELECT r.i AS i, s.i AS j, v[r.i + 1] AS a, v[s.i + 1] AS b FROM e, range(64) r(i), range(64) s(i) WHERE s.i >= r.i)
+ SELECT i::int AS i, j::int AS j, round(avg(a), 8) AS mean_i, round(avg(b), 8) AS mean_j, round(covar_samp(a, b), 8) AS covariance FROM x GROUP BY i, j""")
+def mvg_stats_whole(t):
+    return V.moments(t.embeddings, "embedding").select("i", "j", *[_r(c, c, 8) for c in ("mean_i", "mean_j", "covariance")])
+
+
 @query(f"""WITH {_VEC}, p AS (SELECT vec_id, list_transform(v[1:10], lambda x: abs(x) + 0.01) AS p, list_transform(v[11:20], lambda x: abs(x) + 0.01) AS q FROM e)
  SELECT vec_id, round(list_sum(list_transform(range(1, 11), lambda i: p[i] * i)) / list_sum(p), 6) AS mean,
  round(sqrt(list_sum(list_transform(range(1, 11), lambda i: power(list_sum(p[1:i]) / list_sum(p) - list_sum(q[1:i]) / list_sum(q), 2))) / 10), 6) AS emd FROM p""")

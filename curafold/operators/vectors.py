@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -55,9 +57,42 @@ def emd_squares(p: Column, t: Column) -> Column:
 
 
 def moments(df: DataFrame, vector: str) -> DataFrame:
-    """i, j, covariance of the vector's places; long vectors make many rows, but none larger than a sum."""
-    cells = df.select(F.monotonically_increasing_id().alias("_row"), doubles(F.col(vector)).alias("v")).select("v", F.posexplode("v").alias("i", "a")).select("i", "a", F.posexplode("v").alias("j", "b")).filter("j >= i")
-    return cells.groupBy("i", "j").agg(F.covar_samp("a", "b").alias("covariance"))
+    """i, j, mean_i, mean_j, covariance of the vector's places, j >= i, over the rows that have both.
+
+    Each task sums outer products of its rows around its own means and gives one row a pair of places; these
+    are merged around the means of all, so no row is exploded and large means cost no digits."""
+
+    def merge(a, b):
+        n = np.where(a[0] + b[0], a[0] + b[0], 1)
+        dx, dy = b[1] - a[1], b[2] - a[2]
+        return [a[0] + b[0], a[1] + dx * b[0] / n, a[2] + dy * b[0] / n, a[3] + b[3] + dx * dy * a[0] * b[0] / n]
+
+    def run(batches):
+        held = None  # counts, means of i, means of j and co-moments, each a matrix over i, j
+        for batch in batches:
+            rows = [r or [] for r in batch.column(0).to_pylist()]
+            width = max(map(len, rows), default=0)
+            have = np.array([[v is not None for v in r] + [False] * (width - len(r)) for r in rows], dtype=float).reshape(len(rows), width)
+            x = np.array([[v or 0.0 for v in r] + [0.0] * (width - len(r)) for r in rows]).reshape(len(rows), width)
+            n = have.T @ have
+            some = np.where(n, n, 1)
+            middle = x.sum(axis=0) / np.maximum(have.sum(axis=0), 1)
+            x = (x - middle) * have
+            mx, my = x.T @ have / some, have.T @ x / some
+            part = [n, mx + middle[:, None], my + middle, x.T @ x - n * mx * my]
+            if held is not None:
+                size = max(len(held[0]), width)
+                held, part = ([np.pad(m, (0, size - len(m))) for m in ms] for ms in (held, part))
+                part = merge(held, part)
+            held = part
+        if held is not None:
+            i, j = np.triu_indices(len(held[0]))
+            yield pa.RecordBatch.from_arrays([pa.array(i.astype("i4")), pa.array(j.astype("i4")), *[pa.array(m[i, j]) for m in held]], ["i", "j", "n", "mx", "my", "c"])
+
+    parts = df.select(doubles(F.col(vector)).alias("v")).mapInArrow(run, "i int, j int, n double, mx double, my double, c double").filter("n > 0")
+    held = parts.groupBy("i", "j").agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mx")) / F.sum("n")).alias("mean_i"), (F.sum(F.col("n") * F.col("my")) / F.sum("n")).alias("mean_j"), F.collect_list(F.struct("n", "mx", "my", "c")).alias("p"))
+    total = F.aggregate("p", F.lit(0.0), lambda a, q: a + q["c"] + q["n"] * (q["mx"] - F.col("mean_i")) * (q["my"] - F.col("mean_j")))
+    return held.select("i", "j", "mean_i", "mean_j", F.when(F.col("n") > 1, total / (F.col("n") - 1)).alias("covariance"))
 
 
 def body_embedding(persons: Column) -> Column:

@@ -3,6 +3,7 @@
 import collections
 
 from curafold.catalogue import QUERIES
+from curafold.operators.vectors import moments
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -16,3 +17,16 @@ def test_all_boxes_are_attached(spark):
     for r in rows:
         own[r.image] += (1 + (r.part % 3) ** 2) ** 0.5 - r.distance
     assert min(own.values()) > -1e-9
+
+
+def test_all_places_of_vectors(spark):
+    n = spark.read.parquet(f"{FOLDER}/embeddings.parquet").count()
+    assert QUERIES["explode_detections_whole"](spark, FOLDER).count() == 64 * n
+    stats = QUERIES["mvg_stats_whole"](spark, FOLDER).collect()
+    assert len(stats) == 2080 and all(r.mean_i is not None and r.mean_j is not None for r in stats)
+
+
+def test_moments_of_ragged_vectors(spark):
+    rows = [([1e8 + 1, 2.0, None],), ([1e8 + 3, 5.0],), ([1e8 + 8, None, 4.0],), (None,), ([],)]
+    got = {(r.i, r.j): (r.mean_i, r.mean_j, r.covariance) for r in moments(spark.createDataFrame(rows, "v array<double>").repartition(3), "v").collect()}
+    assert got == {(0, 0): (1e8 + 4, 1e8 + 4, 13.0), (0, 1): (1e8 + 2, 3.5, 3.0), (0, 2): (1e8 + 8, 4.0, None), (1, 1): (3.5, 3.5, 4.5), (2, 2): (4.0, 4.0, None)}
