@@ -151,7 +151,7 @@ def clustered(df: DataFrame, vector: str, k: int, method: str = "kmeans", seed:
         model = GaussianMixture(k=k, seed=seed, featuresCol="_features", predictionCol="lbl").fit(ready)
         cost = -model.summary.logLikelihood
     else:
-        model = KMeans(k=k, seed=seed, maxIter=50, tol=1e-6, featuresCol="_features", predictionCol="lbl").fit(ready)
+        model = KMeans(k=k, seed=seed, maxIter=10_000, tol=1e-6, featuresCol="_features", predictionCol="lbl").fit(ready)
         cost = model.summary.trainingCost
     return model.transform(ready).drop("_features", "probability"), float(cost)
 

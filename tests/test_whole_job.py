@@ -3,6 +3,7 @@
 import collections
 
 from curafold.catalogue import QUERIES
+from curafold.operators import vectors
 from curafold.operators.vectors import moments
 
 FOLDER = "/root/testdata/sf0.001"
@@ -30,3 +31,11 @@ def test_moments_of_ragged_vectors(spark):
     rows = [([1e8 + 1, 2.0, None],), ([1e8 + 3, 5.0],), ([1e8 + 8, None, 4.0],), (None,), ([],)]
     got = {(r.i, r.j): (r.mean_i, r.mean_j, r.covariance) for r in moments(spark.createDataFrame(rows, "v array<double>").repartition(3), "v").collect()}
     assert got == {(0, 0): (1e8 + 4, 1e8 + 4, 13.0), (0, 1): (1e8 + 2, 3.5, 3.0), (0, 2): (1e8 + 8, 4.0, None), (1, 1): (3.5, 3.5, 4.5), (2, 2): (4.0, 4.0, None)}
+
+
+def test_kmeans_runs_to_its_tolerance(spark, monkeypatch):
+    seen = {}
+    make = vectors.KMeans
+    monkeypatch.setattr(vectors, "KMeans", lambda **options: seen.update(options) or make(**options))
+    assert QUERIES["kmeans_inertia"](spark, FOLDER).count() == 3
+    assert (seen["maxIter"], seen["tol"]) == (10_000, 1e-6)
