@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .common import documents, staged
-from .tokens import crc32, default_path, encoder, slices
+from .tokens import columns, crc32, default_path, encoder, spread
 
 CAPACITY, SEPARATOR = 2048, 0
 PRICINGS, STEP, ROWS_A_TASK = 600, 0.5, 1_000_000
@@ -37,18 +37,23 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, separator: in
     """doc_id, piece, start, length, ids_crc32 and, if asked for, ids: the pieces of each whole document."""
 
     def run(batches):
-        end = separator.to_bytes(4, "little")
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            for at, texts in slices(batch):
-                rows = []
-                for k, raw in enumerate(encoder(tokenizer).encode(texts)):
-                    raw += end
-                    for piece, x in enumerate(range(0, len(raw), 4 * capacity)):
-                        part = raw[x : x + 4 * capacity]
-                        rows.append((keys[at + k], piece, x // 4, len(part) // 4, crc32(part), np.frombuffer(part, "<u4") if ids else None))
-                columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)]
-                yield pa.RecordBatch.from_arrays(columns[: 5 + ids], ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + ids])
+            for at, column in columns(batch):
+                found, bounds = encoder(tokenizer).encode_column(column)
+                whole = np.insert(found, bounds[1:], separator).astype("<u4")  # each document's ids end with the separator
+                sizes = np.diff(bounds) + 1
+                firsts, pieces = np.cumsum(sizes) - sizes, -(-sizes // capacity)
+                of = np.repeat(np.arange(len(sizes)), pieces)
+                piece = spread(np.zeros(len(sizes), np.int64), pieces)
+                start = piece * capacity
+                length = np.minimum(capacity, sizes[of] - start)
+                begin = firsts[of] + start
+                raw, cuts = whole.tobytes(), list(zip((4 * begin).tolist(), (4 * (begin + length)).tolist(), strict=True))
+                sums = [crc32(raw[a:b]) for a, b in cuts]
+                arrays = [batch.column(0).slice(at, len(column)).take(pa.array(of)), pa.array(piece.astype("i4")), pa.array(start), pa.array(length), pa.array(sums, pa.int64())]
+                if ids:
+                    arrays.append(pa.ListArray.from_arrays(pa.array(np.append(begin, len(whole)).astype("i4")), pa.array(whole.astype(np.int64))))
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + ids])
 
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return slim.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * ids)

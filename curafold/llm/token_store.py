@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, new_path, text_of
-from .tokens import crc32, default_path, encoder, slices
+from .tokens import columns, crc32, default_path, encoder, slices
 
 SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES = 2048, 64 << 10, 64 << 10
-BLOCK_BYTES, BLOCK_DOCS = 1 << 20, 4096
+BLOCK_BYTES, BLOCK_DOCS, LEVEL = 1 << 20, 4096, 3
 END = 1
 BLOCKS = pa.schema([
     ("part", pa.int32()), ("seq", pa.int32()), ("dict_sha256", pa.string()), ("width", pa.int32()), ("start", pa.int64()), ("first_id", pa.int64()), ("last_id", pa.int64()),
@@ -79,7 +79,10 @@ def _block_writer(tokenizer: str, width: int, end: int, content: bytes):
     def write(batches):
         import zstandard
 
-        packer = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(content))
+        shared = _dictionary(content)
+        if shared is not None:
+            shared.precompute_compress(level=LEVEL)  # digested once, not for each document
+        packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
         part, seq, start = TaskContext.get().partitionId(), 0, 0
         ids, offsets, counts, payload, held = [], [0], [], [], 0
 
@@ -93,9 +96,12 @@ def _block_writer(tokenizer: str, width: int, end: int, content: bytes):
 
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            for at, texts in slices(batch):
-                for k, raw in enumerate(encoder(tokenizer).encode(texts)):
-                    raw = _narrow(raw, width) + end.to_bytes(width, "little")
+            for at, column in columns(batch):
+                found, bounds = encoder(tokenizer).encode_column(column)
+                whole = np.insert(found, bounds[1:], end).astype(f"<u{width}").tobytes()
+                cuts = (width * (bounds + np.arange(len(bounds)))).tolist()
+                for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                    raw = whole[a:b]
                     frame = packer.compress(raw)
                     ids.append(keys[at + k])
                     counts.append(len(raw) // width)

@@ -3,100 +3,130 @@
 from __future__ import annotations
 
 import os
-import unicodedata
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-from .common import WORDS_BYTES
-
-#: Entries of a worker's cache of encoded words; it is emptied when full, so its memory is bounded.
+#: Bytes that a worker's cache of words may take; it is emptied when full, so its memory is bounded.
+CACHE_BYTES = 160 << 20
+#: What an entry of such a cache takes besides its own bytes, about.
+ENTRY = 140
+#: Entries of other caches of small values in a worker.
 CACHE = 600_000
 _encoders: dict[str, "WordEncoder"] = {}
 
 
-#: Stands between new words that are encoded in one call; words that contain it are encoded alone.
-FENCE = "\ue000"
+def lowered(texts: pa.Array) -> pa.Array:
+    """A-Z in lower case and null as the empty text; texts that may hold a special token's string stay as they are."""
+    texts = pc.fill_null(texts, "")
+    special, lower = pc.match_substring(texts, "<|"), pc.ascii_lower(texts)
+    return pc.if_else(special, texts, lower) if pc.any(special).as_py() else lower
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts one after another (some may be empty), and where each text's words begin and end."""
+    lists = pc.ascii_split_whitespace(texts)
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    return lists.flatten(), offsets - offsets[0]
+
+
+def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places starts[i], starts[i] + 1, ... (lengths[i] of them), one i after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
 
 
 class WordEncoder:
-    """Ids of a text as little-endian unsigned 32-bit bytes.
+    """Ids of texts as unsigned 32-bit numbers.
 
     The tokenizer's normaliser and splitter never join characters across white space, so a text's ids are
-    those of its words one after another, and each different word needs encoding once; A-Z are lowered
-    first, as the normaliser does (not where a special token's string may start). A last full stop or comma
-    after a letter is a part of its own. New words of letters go to the library as one text, in which each
-    ends with one end-of-word token; others have a fence between them whose ids are found again.
+    those of its words one after another, and each different word of a batch needs a look-up once. A new word
+    of ASCII and Latin letters is cut into the splitter's pieces here and each new piece goes to the library's
+    model; any other word (special tokens, control characters, other scripts) goes through the whole library.
     """
 
+    #: The splitter's pattern over the characters that are cut here, which are all in normal form.
+    LETTERS = "a-zà-öø-ÿāăąćĉċčďđēĕėęěĝğġģĥħĩīĭįıĳĵķĸĺļľŀłńņňŋōŏőœŕŗřśŝşšţťŧũūŭůűųŵŷźżž"
+    PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
+    PLAIN = re.compile(rf"[!-~{LETTERS}]+")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.fence = self._ids(FENCE)
-        vocabulary = self.tokenizer.get_vocab(True)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.marks = {m: self._ids(m.decode()).tobytes() for m in (b".", b",")}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _letters(self, words: list[str]) -> list[bytes] | None:
-        ids = self._ids(" ".join(words))
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(words):
-            return None
-        raw, cuts = ids.tobytes(), [0, *(4 * stops).tolist()]
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-
-    def _fenced(self, words: list[str]) -> list[bytes]:
-        ids = self._ids(f" {FENCE} ".join(words))
-        at = np.ones(len(ids), dtype=bool)
-        for k, x in enumerate(self.fence):
-            at[: len(ids) - k] &= ids[k:] == x
-            at[len(ids) - k :] = False
-        fences = np.flatnonzero(at).tolist()
-        raw, width = ids.tobytes(), 4 * len(self.fence)
-        if len(fences) != len(words) - 1:
-            raise ValueError("words can't be told apart in their joined text")
-        starts, stops = [0, *[4 * f + width for f in fences]], [*[4 * f for f in fences], len(raw)]
-        return [raw[a:b] for a, b in zip(starts, stops, strict=True)]
-
-    def _learn(self, words: set[bytes]) -> None:
-        known, marked, letters, others = self.known, [], [], []
-        todo = set(words)
+        self.model = self.tokenizer.model
+        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # byte-level alphabet: other bytes follow from 256 on
+        hidden = [b for b in range(256) if b not in set(shown)]
+        self.letters = {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[str, int] = {"": 0}
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.pool, self.used, self.held = np.zeros(4096, np.uint32), 0, 0
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        text = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        ids = self.pieces[piece] = tuple([t.id for t in self.model.tokenize(text)])
+        self.held += len(text) + ENTRY
+        return ids
+
+    def word(self, word: str) -> tuple[int, ...] | list[int]:
+        low = word.lower()
+        if "<|" in word or not self.PLAIN.fullmatch(low) or "İ" in word:
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        known = self.pieces.get
+        return [i for p in self.PIECES.findall(low) for i in known(p) or self._piece(p)]
+
+    def _learn(self, words: list[str]) -> None:
+        flat: list[int] = []
+        first, ends, known = len(self.places), [], self.pieces.get
         for w in words:
-            if w[-1:] in self.marks and len(w) > 1 and (w[-2:-1].isalpha() or w[-2] > 127 and unicodedata.normalize("NFC", w[:-1].decode()[-1].lower())[-1].isalpha()):
-                marked.append(w)
-                todo.discard(w)
-                if w[:-1] not in known:
-                    todo.add(w[:-1])
-        for w in todo:
-            text = w.decode()
-            if FENCE in text:
-                known[w] = self._ids(text).tobytes()
-            else:
-                (letters if text.isalpha() else others).append((w, text))
-        for part, cut in ((letters, self._letters), (others, self._fenced)):
-            for k in range(0, len(part), 8192):
-                keys, texts = zip(*part[k : k + 8192], strict=True)
-                known.update(zip(keys, cut(list(texts)) or self._fenced(list(texts)), strict=True))
-        for w in marked:
-            known[w] = known[w[:-1]] + self.marks[w[-1:]]
+            # a word of ASCII letters is one piece
+            flat += (known(w) or self._piece(w.lower())) if w.isascii() and w.isalpha() else self.word(w)
+            ends.append(len(flat))
+        self.held += sum(map(len, words)) + ENTRY * len(words)
+        self.places.update(zip(words, range(first, first + len(words)), strict=True))
+        total, more = len(self.places), self.used + len(flat)
+        for name, size in (("starts", total), ("lengths", total), ("pool", more)):
+            old = getattr(self, name)
+            if size > len(old):
+                new = np.zeros(2 * size, old.dtype)
+                new[: len(old)] = old
+                setattr(self, name, new)
+        stops = np.array(ends, np.int64)
+        begins = np.concatenate([[0], stops[:-1]])
+        self.starts[first:total], self.lengths[first:total] = begins + self.used, stops - begins
+        self.pool[self.used : more] = flat
+        self.used, self.held = more, self.held + 4 * len(flat)
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and where each text's ids begin and end (one entry more than texts)."""
+        words, bounds = words_of(lowered(texts))
+        coded = words.dictionary_encode()
+        kinds = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if self.held > CACHE_BYTES:
+            self._forget()
+        places = self.places
+        new = [w for w in kinds if w not in places]
+        if new:
+            self._learn(new)
+        at = np.fromiter(map(places.__getitem__, kinds), np.int64, len(kinds))[coded.indices.to_numpy(zero_copy_only=False)] if kinds else np.zeros(0, np.int64)
+        lengths = self.lengths[at]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return self.pool[spread(self.starts[at], lengths)], ends[bounds]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        raw = [t.encode() for t in texts]
-        words = [WORDS_BYTES.findall(r if b"<|" in r else r.lower()) for r in raw]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known = self.known
-        if new := set().union(*words).difference(known):
-            self._learn(new)
-        return [b"".join([known[w] for w in ws]) for ws in words]
+        """Of each text its ids as little-endian unsigned 32-bit bytes."""
+        ids, bounds = self.encode_column(pa.array(texts, pa.string()))
+        raw = ids.astype("<u4").tobytes()
+        cuts = (4 * bounds).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -106,16 +136,23 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def slices(batch: pa.RecordBatch, text: int = 1, chars: int = 4_000_000):
-    """Parts of a batch with about so many bytes of text, each as (start, texts); null is the empty text."""
+def columns(batch: pa.RecordBatch, text: int = 1, size: int = 4_000_000):
+    """Parts of a batch with about so many bytes of text, each as (start, column of texts)."""
     column = batch.column(text)
-    lengths = np.diff(np.frombuffer(column.buffers()[1], dtype="<i4" if pa.types.is_string(column.type) else "<i8", count=len(column) + column.offset + 1)[column.offset :]) if len(column) else np.zeros(0)
-    start, total = 0, 0
-    for i, n in enumerate(lengths):
-        total += int(n)
-        if total >= chars or i == len(lengths) - 1:
-            yield start, [t or "" for t in column.slice(start, i + 1 - start).to_pylist()]
-            start, total = i + 1, 0
+    if not len(column):
+        return
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start, before = 0, 0
+    while start < len(column):
+        stop = min(max(int(np.searchsorted(ends, before + size, side="left")) + 1, start + 1), len(column))
+        yield start, column.slice(start, stop - start)
+        start, before = stop, int(ends[stop - 1])
+
+
+def slices(batch: pa.RecordBatch, text: int = 1, size: int = 4_000_000):
+    """Parts of a batch with about so many bytes of text, each as (start, texts); null is the empty text."""
+    for start, column in columns(batch, text, size):
+        yield start, [t or "" for t in column.to_pylist()]
 
 
 def crc32(data: bytes) -> int:
