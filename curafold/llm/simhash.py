@@ -6,8 +6,8 @@ so each goes to the shards of its bands. A shard holds one BK-tree: children are
 distance to the parent, and a search follows only edges within the radius of its own distance. A shard's
 tree is searched component by component: what a search reaches leaves the tree, whose subtrees count the
 living, so that a dense cluster costs about one visit a member and no pairs are listed; each member gets one
-link to the first. Shards beyond SHARD rows are divided again by bands of the bits that are left, which
-loses no link for the same reason. Links of all shards are joined by large-star/small-star rounds.
+link to the first. Shards beyond SHARD rows are divided again, as often as needed, by bands of the bits that are left,
+which loses no link for the same reason; with LEAST_BITS bits left a shard can't be that large. Links of all shards are joined by large-star/small-star rounds.
 
 The trees aren't broadcast whole to all tasks: they hold every fingerprint and would grow with the corpus.
 Each shard's tree stands in the one task that has all its searchers.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import WORDS_BYTES, documents, staged
 from .tokens import slices
 
-SHINGLE, SEED, RADIUS, BANDS, SHARD = 3, 42, 3, 4, 20_000
+SHINGLE, SEED, RADIUS, BANDS, SHARD, LEAST_BITS = 3, 42, 3, 4, 20_000, 14
 
 
 def fingerprint(text: str, size: int = SHINGLE, seed: int = SEED) -> int:
@@ -146,7 +146,7 @@ def _band_keys(fp, bits: list[int], bands: int, radius: int):
 
 
 def _search(radius: int):
-    """Streams sorted rows (k, v, k2, v2, fp) and gives the star links of each shard."""
+    """Streams sorted rows (key, fp) and gives the star links of each shard."""
 
     def run(batches):
         key, values = None, []
@@ -158,11 +158,10 @@ def _search(radius: int):
 
         links: list[tuple[int, int]] = []
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(4)]
-            for k, v, k2, v2, fp in zip(*columns, batch.column(4).to_numpy().view(np.uint64).tolist(), strict=True):
-                if (k, v, k2, v2) != key:
+            for k, fp in zip(batch.column(0).to_pylist(), batch.column(1).to_numpy().view(np.uint64).tolist(), strict=True):
+                if k != key:
                     links += star_links(values, radius)
-                    key, values = (k, v, k2, v2), []
+                    key, values = k, []
                     if len(links) > 50_000:
                         yield out(links)
                         links = []
@@ -174,20 +173,43 @@ def _search(radius: int):
     return run
 
 
+def _divide(radius: int):
+    """Rows (key, free, fp) of large shards to rows of smaller ones: the bits that are still free are cut into radius + 1 bands."""
+
+    def run(batches):
+        for batch in batches:
+            key, free, fp = (batch.column(k).to_numpy().view(np.uint64) for k in range(3))
+            for mask in np.unique(free).tolist():
+                own = free == mask
+                bits = [i for i in range(64) if mask >> i & 1]
+                for k, (low, high) in enumerate(_bands(0, len(bits), radius + 1)):
+                    band = np.uint64(sum(1 << i for i in bits[low:high]))
+                    mixed = (key[own] ^ ((fp[own] & band) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(k)
+                    mixed ^= mixed >> np.uint64(31)
+                    rest = np.full(int(own.sum()), mask & ~int(band), np.uint64)
+                    yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (mixed, rest, fp[own])], ["key", "free", "fp"])
+
+    return run
+
+
 def near_links(distinct: DataFrame, radius: int = RADIUS, bands: int = BANDS, shard: int = SHARD) -> DataFrame:
-    """Links a, b between different fingerprints (column fp) that make the components of all links."""
-    fp = F.col("fp")
-    first = distinct.select("fp", F.explode(_band_keys(fp, list(range(64)), bands, radius)).alias("s")).select("fp", "s.k", "s.v")
-    large = first.groupBy("k", "v").count().filter(F.col("count") > shard).select("k", "v", F.lit(True).alias("large"))
-    marked = first.join(large, ["k", "v"], "left")
-    none = F.array(F.struct(F.lit(-1).alias("k"), F.lit(0).cast("long").alias("v")))
-    again, cuts = none, _bands(0, 64, bands)
-    for k, chosen in enumerate(combinations(range(bands), bands - radius)):
-        rest = [i for c in range(bands) if c not in chosen for i in range(*cuts[c])]
-        again = F.when(F.col("large") & (F.col("k") == k), _band_keys(fp, rest, radius + 1, radius)).otherwise(again)
-    shards = marked.select("fp", "k", "v", F.explode(again).alias("t")).select("k", "v", F.col("t.k").alias("k2"), F.col("t.v").alias("v2"), "fp")
-    keys = ["k", "v", "k2", "v2"]
-    return shards.repartition(*keys).sortWithinPartitions(*keys, "fp").mapInArrow(_search(radius), "a long, b long").distinct()
+    """Links a, b between different fingerprints (column fp) that make the components of all links.
+
+    Two shards that get the same key are searched as one, which adds nothing but work."""
+    fixed = [sum(1 << i for c in chosen for i in range(*_bands(0, 64, bands)[c])) for chosen in combinations(range(bands), bands - radius)]
+    signed = lambda x: x - (1 << 64) * (x >> 63)
+    free = F.get(F.array(*[F.lit(signed((1 << 64) - 1 & ~m)) for m in fixed]), F.col("s.k"))
+    level = distinct.select("fp", F.explode(_band_keys(F.col("fp"), list(range(64)), bands, radius)).alias("s")).select(F.xxhash64("s.k", "s.v").alias("key"), free.alias("free"), "fp")
+    shards = None
+    while True:  # each round fixes a quarter of the bits that are left, and shards with few free bits are never large
+        sizes = level.groupBy("key").agg(F.count("*").alias("n"), F.max(F.bit_count("free")).alias("bits"))
+        large = staged(sizes.filter((F.col("n") > shard) & (F.col("bits") > LEAST_BITS)).select("key"), "large_shards")
+        some = not large.isEmpty()
+        small = (level.join(large, "key", "left_anti") if some else level).select("key", "fp")
+        shards = small if shards is None else shards.union(small)
+        if not some:
+            return shards.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_search(radius), "a long, b long").distinct()
+        level = staged(level.join(large, "key", "left_semi").select("key", "free", "fp").mapInArrow(_divide(radius), "key long, free long, fp long"), "divided")
 
 
 def components(links: DataFrame) -> DataFrame:
