@@ -19,19 +19,21 @@ the formula gives base_score 0; other columns aren't read.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from array import array
+from collections import Counter, deque
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORDS_BYTES, documents, staged
-from .tokens import default_path, slices
+from .common import documents, staged
+from .tokens import columns, default_path, words_of
 
-HEAD, FLUSH, SMOOTHING = 100_000, 300_000, 0.1
+HEAD, SLICE, LONG, SMOOTHING = 100_000, 8_000_000, 4096, 0.1
 #: The end of a text as a word: no word can contain a space.
 END = " "
-END_BYTES = END.encode()
 #: Factor a character on probabilities in the sums over segmentations, near their inverse.
 SCALE = 100.0
 MARK = "▁"
@@ -43,6 +45,7 @@ class Lattice:
 
     def __init__(self, logs: dict[str, float], byte_logs: list[float]):
         self.logs, self.byte_logs = logs, byte_logs
+        self.longest = max(map(len, logs), default=1)
         self.root: dict = {}  # a node: next character to node; "" to (piece, log probability, scaled probability)
         for piece, x in logs.items():
             node = self.root
@@ -92,11 +95,32 @@ class Lattice:
         most = max(logs)
         return most + math.log(sum([math.exp(x - most) for x in logs]))
 
+    def _ahead(self, text: str, i: int, here: float, pending: deque) -> None:
+        """Adds what may start at i to the terms of the places it reaches; pending[k] belongs to place i + k."""
+        for j, _, x, _ in self.arcs(text, i):
+            pending[j - i].append(here + x)
+
+    def _forward(self, text: str):
+        """Logarithms of the sums over segmentations up to place 0, 1, ...; as many terms are held as a piece is long."""
+        pending = deque([[] for _ in range(self.longest + 1)])
+        pending[0].append(0.0)
+        for i in range(len(text) + 1):
+            here = self._sum(pending[0])
+            yield here
+            if i < len(text):
+                self._ahead(text, i, here, pending)
+                pending.popleft()
+                pending.append([])
+
     def log10(self, word: str) -> float:
         """Forward recursion in log space: the marginal over all segmentations."""
         if word == END:
             return self.logs[END] / math.log(10)
-        text = MARK + word
+        text, last = MARK + word, 0.0
+        if len(text) > LONG:
+            for last in self._forward(text):
+                pass
+            return last / math.log(10)
         terms: list[list[float]] = [[0.0], *[[] for _ in text]]
         for i in range(len(text)):
             here = self._sum(terms[i])
@@ -112,6 +136,8 @@ class Lattice:
             return
         text = MARK + word
         n = len(text)
+        if n > LONG:
+            return self._expect_long(text, count, uses)
         arcs = [self.arcs(text, i) for i in range(n)]
         alpha, beta = [1.0, *[0.0] * n], [*[0.0] * n, 1.0]
         for i in range(n):
@@ -119,7 +145,7 @@ class Lattice:
             for j, _, _, p in arcs[i]:
                 alpha[j] += here * p
         if not 1e-290 < alpha[n] < 1e290 or not all([1e-290 < x < 1e290 for x in alpha]):
-            return self._expect_in_logs(arcs, n, count, uses)
+            return self._expect_long(text, count, uses)
         whole = count / alpha[n]
         for i in range(n - 1, -1, -1):
             here, total = alpha[i] * whole, 0.0
@@ -129,17 +155,17 @@ class Lattice:
                 self._use(uses, piece, here * rest)
             beta[i] = total
 
-    def _expect_in_logs(self, arcs: list, n: int, count: float, uses: Counter) -> None:
-        into: list[list[float]] = [[0.0], *[[] for _ in range(n)]]
-        alpha, beta = [], [0.0] * (n + 1)
-        for i in range(n + 1):
-            alpha.append(self._sum(into[i]))
-            for j, _, x, _ in arcs[i] if i < n else ():
-                into[j].append(alpha[i] + x)
+    def _expect_long(self, text: str, count: float, uses: Counter) -> None:
+        """The same with logarithms; a word of any length takes eight bytes a character, and arcs are found twice instead of kept."""
+        n = len(text)
+        alpha = array("d", self._forward(text))
+        beta = deque([0.0] + [0.0] * self.longest)  # beta[k] belongs to place i + 1 + k
         for i in range(n - 1, -1, -1):
-            beta[i] = self._sum([x + beta[j] for j, _, x, _ in arcs[i]])
-            for j, piece, x, _ in arcs[i]:
-                self._use(uses, piece, count * math.exp(alpha[i] + x + beta[j] - alpha[n]))
+            arcs = self.arcs(text, i)
+            for j, piece, x, _ in arcs:
+                self._use(uses, piece, count * math.exp(alpha[i] + x + beta[j - i - 1] - alpha[n]))
+            beta.appendleft(self._sum([x + beta[j - i - 1] for j, _, x, _ in arcs]))
+            beta.pop()
 
     @staticmethod
     def _use(uses: Counter, piece, share: float) -> None:
@@ -150,9 +176,14 @@ class Lattice:
             uses[piece] += share
 
 
-def _words(text: str) -> list[bytes]:
-    """Tokens in UTF-8; bytes.lower changes A-Z only."""
-    return [*WORDS_BYTES.findall(text.encode().lower()), END_BYTES]
+def _coded(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words of the texts, in lower case, and for each word in turn its number and its text's; the end is not among them."""
+    words, bounds = words_of(pc.ascii_lower(pc.fill_null(texts, "")))
+    coded = words.dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    of = np.repeat(np.arange(len(texts)), np.diff(bounds))
+    empty = pc.index(coded.dictionary, "").as_py()
+    return (coded.dictionary, codes, of) if empty < 0 else (coded.dictionary, codes[codes != empty], of[codes != empty])
 
 
 def _held_out():
@@ -163,24 +194,14 @@ def word_counts(rows: DataFrame) -> DataFrame:
     """word, c: how often each word occurs in the training rows (doc_id, text, held_out); 0 if only elsewhere."""
 
     def run(batches):
-        seen: Counter = Counter()
-        other: set[bytes] = set()
-
-        def out():
-            only = [w for w in other if w not in seen]
-            words, counts = [*seen.keys(), *only], [*seen.values(), *[0] * len(only)]
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["word", "c"])
-
         for batch in batches:
-            held = batch.column(2).to_pylist()
-            for at, texts in slices(batch):
-                for k, t in enumerate(texts):
-                    (other if held[at + k] else seen).update(_words(t))
-                if len(seen) + len(other) > FLUSH:
-                    yield out()
-                    seen.clear()
-                    other.clear()
-        yield out()
+            training = ~batch.column(2).to_numpy(zero_copy_only=False)
+            for at, texts in columns(batch, size=SLICE):
+                words, codes, of = _coded(texts)
+                own = training[at : at + len(texts)]
+                counts = np.bincount(codes, weights=own[of], minlength=len(words)).astype(np.int64)
+                some = np.bincount(codes, minlength=len(words)) > 0
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([words.filter(pa.array(some)), pa.array([END])]), pa.array(np.append(counts[some], own.sum()))], ["word", "c"])
 
     return rows.mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -202,6 +223,20 @@ def train(counts: DataFrame, path: str) -> Lattice:
     return Lattice.of_weights(weights, [found.get(f"<0x{b:02X}>", 0.0) + SMOOTHING for b in range(256)])
 
 
+def _least_frequent(counts: DataFrame, head: int) -> int:
+    """The least count such that at most `head` words have it or more, from a histogram in steps of a sixteenth of a doubling.
+
+    Words below go through the shuffle, so nothing is lost wherever it falls."""
+    step = F.floor(F.log2("c") * 16)
+    total, least = 0, 1 << 62
+    for k, n in sorted(((int(r[0]), int(r[1])) for r in counts.filter("c > 0").groupBy(step.alias("k")).count().collect()), reverse=True):  # at most 16 x 63 rows
+        total += n
+        if total > head:
+            break
+        least = math.ceil(2 ** (k / 16) - 1e-9)
+    return least
+
+
 def score_documents(docs: DataFrame, vocabulary: str, head: int = HEAD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row."""
     spark = docs.sparkSession
@@ -217,33 +252,32 @@ def score_documents(docs: DataFrame, vocabulary: str, head: int = HEAD, doc_id:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([lattice.log10(w) for w in batch.column(0).to_pylist()], pa.float64())], ["word", "c", "lp"])
 
     weighed = staged(counts.mapInArrow(weigh, "word string, c long, lp double"), "word_scores")
-    top = spark.sparkContext.broadcast({r.word: (r.c, r.lp) for r in weighed.orderBy(F.desc("c"), "word").limit(head).collect()})
     divisor = tokens + SMOOTHING * (kinds + 1)
-    base = lambda c: math.log10((c + SMOOTHING) / divisor)
+    found = weighed.filter(F.col("c") >= _least_frequent(counts, head)).toArrow()  # at most `head` rows
+    frequent, c = found.column("word").to_pylist(), found.column("c").to_numpy().astype(float)
+    # the last entry stands for all words that aren't among them
+    table = [np.append(np.log10((c + SMOOTHING) / divisor), 0.0), np.append(found.column("lp").to_numpy(), 0.0), np.append(c > 0, False).astype(float)]
+    top = spark.sparkContext.broadcast(({w: k for k, w in enumerate(frequent)}, table))
 
     def run(batches):
-        known = {w.encode(): (base(c), lp, c > 0) for w, (c, lp) in top.value.items()}
+        places, (base, lp, known) = top.value
+        absent, end = len(base) - 1, places.get(END, len(base) - 1)
         names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "words", "counts"]
-        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         for batch in batches:
-            for at, texts in slices(batch):
-                out, rare, times, ends = [], [], [], [0]
-                for t in texts:
-                    tokens = _words(t)
-                    found, own = [], 0
-                    for w, n in Counter(tokens).items():
-                        if (x := known.get(w)) is None:
-                            rare.append(w)
-                            times.append(n)
-                        else:
-                            found.append((n * x[0], n * x[1]))
-                            own += n * x[2]
-                    ends.append(len(rare))
-                    b, s = zip(*found, strict=True) if found else ((), ())
-                    out.append((len(tokens), own, math.fsum(b), math.fsum(s)))
-                columns = [batch.column(c).slice(at, len(texts)) for c in (0, 2)] + [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)]
-                lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, kind)) for x, kind in ((rare, pa.string()), (times, pa.int32()))]
-                yield pa.RecordBatch.from_arrays(columns + lists, names)
+            for at, texts in columns(batch, size=SLICE):
+                n = len(texts)
+                words, codes, of = _coded(texts)
+                kinds = [places.get(w, absent) for w in words.to_numpy(zero_copy_only=False).tolist()]
+                place = np.append(np.array(kinds, np.int64)[codes], np.full(n, end))
+                doc = np.append(of, np.arange(n))
+                sums = [np.bincount(doc, weights=x[place], minlength=n) for x in (known, base, lp)]
+                rare = np.append(codes, np.full(n, len(words)))[place == absent]
+                pairs, times = np.unique(doc[place == absent] * (len(words) + 1) + rare, return_counts=True)
+                ends = pa.array(np.searchsorted(pairs, np.arange(n + 1) * (len(words) + 1)).astype("i4"))
+                spelled = pa.concat_arrays([words, pa.array([END])]).take(pa.array(pairs % (len(words) + 1)))
+                lists = [pa.ListArray.from_arrays(ends, x) for x in (spelled, pa.array(times.astype("i4")))]
+                own = [batch.column(k).slice(at, n) for k in (0, 2)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(np.bincount(doc, minlength=n)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]), *lists], names)
 
     struct = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, words array<string>, counts array<int>"
     parts = staged(rows.mapInArrow(run, struct).withColumn("_row", F.monotonically_increasing_id()), "document_scores")
