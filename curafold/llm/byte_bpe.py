@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
-from .tokens import CACHE, default_path, slices
+from .tokens import CACHE, CACHE_BYTES, ENTRY, default_path, slices
 
 LEAF, WINDOW, FLAT = 64, 4, 96
 #: Unicode white space; Python's own class also has 1C to 1F, which the split pattern doesn't count as space.
@@ -42,6 +42,7 @@ class ByteBPE:
         self.ranks, self.pieces = ranks, regex.compile(pattern)
         self.bytes_of = {v: k for k, v in ranks.items()}
         self.chunks: dict[str, list[int]] = {}
+        self.held = 0
         self.pairs: dict[tuple[int, int], bool] = {}
 
     @classmethod
@@ -121,14 +122,23 @@ class ByteBPE:
     def piece(self, data: bytes) -> list[int]:
         return [token] if (token := self.ranks.get(data)) is not None else self.tree(data)
 
+    def _learn(self, chunk: str) -> list[int]:
+        """Pieces are looked up as chunks of their own, which they are: most new chunks are known words with other marks."""
+        parts = self.pieces.findall(chunk)
+        if len(parts) == 1:
+            ids = self.piece(chunk.encode())
+        else:
+            ids = [i for p in parts for i in (self.chunks.get(p) or self._learn(p))]
+        self.chunks[chunk] = ids
+        self.held += len(chunk) + 8 * len(ids) + ENTRY
+        return ids
+
     def encode(self, text: str) -> list[int]:
-        known, parts = self.chunks, CHUNKS.findall(text)
-        if len(known) > CACHE:
-            known.clear()
-        for c in parts:
-            if c not in known:
-                known[c] = list(chain.from_iterable([self.piece(p.encode()) for p in self.pieces.findall(c)]))
-        return list(chain.from_iterable([known[c] for c in parts]))
+        if self.held > CACHE_BYTES:
+            self.chunks.clear()
+            self.held = 0
+        known, learn = self.chunks.get, self._learn
+        return list(chain.from_iterable([known(c) or learn(c) for c in CHUNKS.findall(text)]))
 
     def decode(self, ids: list[int]) -> bytes:
         if len(ids) <= 4096:
