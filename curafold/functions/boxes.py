@@ -61,3 +61,38 @@ def ciou(a: Box, b: Box, eps: float = 1e-7) -> Column:
 
 def over_second(a: Box, b: Box) -> Column:
     return intersection(a, b) / area(b)
+
+
+def alpha_iou(a: Box, b: Box, alpha: float = 3.0) -> Column:
+    return F.pow(iou(a, b), F.lit(alpha))
+
+
+def union_box(boxes: Column) -> Column:
+    """(x1, y1, x2, y2) around an array of boxes, each an array of four; null for none."""
+    side = lambda k, f: f(F.transform(boxes, lambda b: b[k]))
+    around = F.struct(side(0, F.array_min).alias("x1"), side(1, F.array_min).alias("y1"), side(2, F.array_max).alias("x2"), side(3, F.array_max).alias("y2"))
+    return F.when(F.size(boxes) > 0, around)
+
+
+def survives(before: Box, after: Box, side: float = 2.0, share: float = 0.1, aspect: float = 20.0) -> Column:
+    """Whether a box is still worth keeping after a transform: both sides above `side`, area above a share, not too thin."""
+    w, h = after[2] - after[0], after[3] - after[1]
+    thin = F.greatest(w / (h + 1e-16), h / (w + 1e-16))
+    return (w > side) & (h > side) & (w * h / (area(before) + 1e-16) > share) & (thin < aspect)
+
+
+def letterbox(width: Column, height: Column, size: int = 640, stride: int = 32, enlarge: bool = True) -> dict[str, Column]:
+    """Scale, new sides and padding of each side that fit an image into a square, padded to a multiple of the stride."""
+    scale = F.least(F.lit(float(size)) / height, F.lit(float(size)) / width)
+    scale = scale if enlarge else F.least(scale, F.lit(1.0))
+    w, h = F.bround(width * scale).cast("int"), F.bround(height * scale).cast("int")
+    return {"scale": scale, "w": w, "h": h, "pad_x": F.pmod(size - w, F.lit(stride)) / 2, "pad_y": F.pmod(size - h, F.lit(stride)) / 2}
+
+
+def anchor_fit(w: Column, h: Column, anchors: list[tuple[float, float]]) -> Column:
+    """How well the best anchor fits a box: the worse of both sides' ratios (the smaller of a ratio and its inverse)."""
+    fits = []
+    for a, b in anchors:
+        x, y = w / a, h / b
+        fits.append(F.least(x, 1 / x, y, 1 / y))
+    return F.greatest(*fits) if len(fits) > 1 else fits[0]

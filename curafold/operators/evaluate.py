@@ -54,31 +54,120 @@ def confusion(detections: DataFrame, labels: DataFrame, classes: int, confidence
     return hit.union(lost).union(false).groupBy("pred", "truth").agg(F.count("*").alias("n"))
 
 
-def precision_recall(results: DataFrame, truths: DataFrame) -> DataFrame:
-    """cls, n, recall, precision along falling confidence. results: cls, conf, tp, id; truths: cls, n_labels."""
-    w = W.partitionBy("cls").orderBy(F.desc("conf"), "id").rowsBetween(W.unboundedPreceding, 0)
-    run = results.withColumns({"tps": F.sum("tp").over(w), "n": F.row_number().over(W.partitionBy("cls").orderBy(F.desc("conf"), "id"))})
+def precision_recall(results: DataFrame, truths: DataFrame, ranges: int = 64) -> DataFrame:
+    """cls, n, recall, precision along falling confidence. results: cls, conf, tp, id; truths: cls, n_labels.
+
+    Confidences are cut at approximate quantiles; a task orders one range of one class, and ranges before it count as a sum."""
+    found = results.agg(F.percentile_approx("conf", [k / ranges for k in range(1, ranges)], 10_000)).first()[0] or []
+    cuts = F.array(*map(F.lit, sorted(set(found)))).cast("array<double>")
+    cut = results.withColumn("_range", F.size(F.filter(cuts, lambda c: c > F.col("conf"))))
+    earlier = W.partitionBy("cls").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    sums = cut.groupBy("cls", "_range").agg(F.count("*").alias("_n"), F.sum("tp").alias("_t"))  # at most `ranges` rows a class
+    bases = sums.select("cls", "_range", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}0") for c in ("_n", "_t")])
+    order = W.partitionBy("cls", "_range").orderBy(F.desc("conf"), "id")
+    own = cut.withColumns({"_i": F.row_number().over(order), "_hits": F.sum("tp").over(order.rowsBetween(W.unboundedPreceding, 0))})
+    run = own.join(bases, ["cls", "_range"]).withColumns({"n": F.col("_i") + F.col("_n0"), "tps": F.col("_hits") + F.col("_t0")})
     return run.join(truths, "cls").select("cls", "conf", "id", "n", (F.col("tps") / (F.col("n_labels") + 1e-16)).alias("recall"), (F.col("tps") / F.col("n")).alias("precision"))
 
 
-def average_precision(recall: np.ndarray, precision: np.ndarray) -> float:
-    """Area under the envelope of a curve, interpolated at 101 points."""
-    r = np.concatenate([[0.0], recall, [recall[-1] + 0.01]])
-    p = np.maximum.accumulate(np.concatenate([[1.0], precision, [0.0]])[::-1])[::-1]
-    x = np.linspace(0, 1, 101)
-    return float(np.trapezoid(np.interp(x, r, p), x))
+#: Places of recall at which the curve is read.
+GRID = 101
 
 
 def ap_per_class(results: DataFrame, truths: DataFrame) -> DataFrame:
-    """cls, ap. A curve only matters where recall rises, at most once a label: those points go to one call a class."""
-    curve = precision_recall(results, truths)
-    points = curve.groupBy("cls", "recall").agg(F.max("precision").alias("precision"))
+    """cls, ap: the area under the best precision reached at each recall or beyond, read at GRID places with straight lines between points.
+
+    A curve has at most as many recalls as labels. Each gives the best precision from it on (what a line to it ends at) and
+    from its last row on (what a line from it starts at), by a running maximum from the right. Before the first
+    recall above 0 the curve starts at precision 1; a hundredth after the last recall it has fallen to 0."""
+    points = precision_recall(results, truths).groupBy("cls", "recall").agg(F.max("precision").alias("high"), F.min("precision").alias("low"))
+    ends = points.groupBy("cls").agg(F.max("recall").alias("last"), F.min("recall").alias("first"))
+    start = ends.filter("first > 0").select("cls", F.lit(0.0), F.lit(1.0), F.lit(1.0))
+    curve = points.union(start).union(ends.select("cls", F.col("last") + 0.01, F.lit(0.0), F.lit(0.0)))
+    beyond = F.coalesce(F.max("high").over(W.partitionBy("cls").orderBy(F.desc("recall")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+    best = curve.withColumn("_b", beyond).select("cls", "recall", F.greatest("high", "_b").alias("to"), F.greatest("low", "_b").alias("from"))
+    after = lambda c: F.lead(c).over(W.partitionBy("cls").orderBy("recall"))
+    lines = best.select("cls", F.col("recall").alias("r0"), F.col("from").alias("p0"), after("recall").alias("r1"), after("to").alias("p1")).filter("r1 IS NOT NULL")
+    place = lambda r: F.ceil(r * (GRID - 1) - 1e-9)
+    read = lines.withColumns({"_a": place(F.col("r0")), "_z": F.least(place(F.col("r1")) - 1, F.lit(GRID - 1))}).filter("_z >= _a")
+    at = read.select("cls", "r0", "p0", "r1", "p1", F.explode(F.sequence("_a", "_z")).alias("g"))
+    height = F.col("p0") + (F.col("p1") - F.col("p0")) * (F.col("g") / (GRID - 1) - F.col("r0")) / (F.col("r1") - F.col("r0"))
+    areas = at.groupBy("cls").agg((F.sum(height * F.when(F.col("g").isin(0, GRID - 1), 0.5).otherwise(1.0)) / (GRID - 1)).alias("ap"))
+    return truths.select("cls").join(areas, "cls", "left").fillna(0.0, ["ap"])
+
+
+def normalised(counts: DataFrame) -> DataFrame:
+    """A confusion table's counts as shares of their true class."""
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(W.partitionBy("truth")))
+
+
+def fitness(*metrics: Column) -> Column:
+    """Precision, recall, AP at 0.5 and AP weighed 0, 0, 0.1 and 0.9."""
+    return metrics[2] * 0.1 + metrics[3] * 0.9
+
+
+def plain_nms(boxes: np.ndarray, scores: np.ndarray, overlap: float = 0.3) -> list[int]:
+    """Places kept, best first, on whole pixels: a box goes if a kept one covers more than `overlap` of it. Later rows win ties."""
+    widths = boxes[:, 2:] - boxes[:, :2] + 1
+    order, kept = np.lexsort((np.arange(len(scores)), scores))[::-1], []
+    for i in order.tolist():
+        cover = [np.prod(np.clip(np.minimum(boxes[i, 2:], boxes[k, 2:]) - np.maximum(boxes[i, :2], boxes[k, :2]) + 1, 0, None)) / np.prod(widths[i]) for k in kept]
+        if not cover or max(cover) <= overlap:
+            kept.append(i)
+    return kept
+
+
+def suppress_plain(detections: DataFrame, overlap: float = 0.3) -> DataFrame:
+    """Detections that survive plain_nms in each image, whatever their class."""
+
+    def run(g: dict) -> dict:
+        kept = plain_nms(np.column_stack([g[c] for c in ("x1", "y1", "x2", "y2")]).astype(float), g["conf"].astype(float), overlap)
+        return {c: x[kept] for c, x in g.items()}
+
+    return by_group(detections, ["image"], ["det"], run, detections.schema.simpleString()[7:-1].replace(":", " "))
+
+
+def blocking(image: np.ndarray, block: int = 8) -> float:
+    """Blocking-effect factor of a grey image: how much more neighbours differ across the lines of a block grid than elsewhere, in mean squares."""
+    height, width = image.shape
+    across, down = np.diff(image, axis=1) ** 2, np.diff(image, axis=0) ** 2
+    lines = [np.arange(n - 1) % block == block - 1 for n in (width, height)]
+    on = across[:, lines[0]].sum() + down[lines[1]].sum()
+    off = across[:, ~lines[0]].sum() + down[~lines[1]].sum()
+    counts = height * (width / block - 1) + width * (height / block - 1)
+    every = height * (width - 1) + width * (height - 1)
+    on, off = on / counts, off / (every - counts)
+    return float(np.log2(block) / np.log2(min(height, width)) * (on - off)) if on > off else 0.0
+
+
+def psnr_b(a: np.ndarray, b: np.ndarray, peak: float = 255.0) -> float:
+    """Peak signal-to-noise ratio of b against a, with b's blocking effect as further noise."""
+    noise = float(((a - b) ** 2).mean()) + blocking(b)
+    return float("inf") if noise == 0 else float(10 * np.log10(peak**2 / noise))
+
+
+def ssim(a: np.ndarray, b: np.ndarray, peak: float = 255.0, size: int = 11, sigma: float = 1.5) -> float:
+    """Structural similarity of two grey images: local means and variances under a Gaussian window, where it fits whole."""
+    from numpy.lib.stride_tricks import sliding_window_view
+
+    g = np.exp(-((np.arange(size) - size // 2) ** 2) / (2 * sigma**2))
+    window = np.outer(g, g) / g.sum() ** 2
+    local = lambda x: np.einsum("ijkl,kl->ij", sliding_window_view(x, (size, size)), window)
+    ma, mb = local(a), local(b)
+    va, vb, both = local(a * a) - ma**2, local(b * b) - mb**2, local(a * b) - ma * mb
+    c1, c2 = (0.01 * peak) ** 2, (0.03 * peak) ** 2
+    return float((((2 * ma * mb + c1) * (2 * both + c2)) / ((ma**2 + mb**2 + c1) * (va + vb + c2))).mean())
+
+
+def frechet(mean_a: np.ndarray, cov_a: np.ndarray, mean_b: np.ndarray, cov_b: np.ndarray) -> float:
+    """Distance between two Gaussians; the trace of the root of the product comes from the eigenvalues of a symmetric form."""
+    values, vectors = np.linalg.eigh(cov_a)
+    root = (vectors * np.sqrt(np.clip(values, 0, None))) @ vectors.T
+    middle = np.sqrt(np.clip(np.linalg.eigvalsh(root @ cov_b @ root), 0, None)).sum()
+    return float(((mean_a - mean_b) ** 2).sum() + np.trace(cov_a) + np.trace(cov_b) - 2 * middle)
 
-    def area(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("recall")
-        return pd.DataFrame({"cls": [pdf.cls.iloc[0]], "ap": [average_precision(pdf.recall.to_numpy(), pdf.precision.to_numpy())]})
 
-    return truths.select("cls").join(points.groupBy("cls").applyInPandas(area, "cls long, ap double"), "cls", "left").fillna(0.0, ["ap"])
+METRICS = {"psnr_b": psnr_b, "ssim": ssim}
 
 
 def nms(boxes: np.ndarray, scores: np.ndarray, overlap: float, most: int = 300) -> list[int]:

@@ -129,3 +129,70 @@ def coverage(df: DataFrame, item: str, order: list[str], step: int = 1000) -> Da
     seen = steps.join(firsts, "b", "left").fillna(0, ["count"])
     total, run = F.sum("count").over(W.partitionBy()), F.sum("count").over(W.orderBy("b"))
     return seen.select(((F.col("b") + 1) * step).alias("draws"), run.alias("seen"), total.alias("total")).select("draws", (F.col("seen") / F.col("total")).alias("share"))
+
+
+def weighted_sample_wr(df: DataFrame, n: int, key: str, weight: str, seed: str = "") -> DataFrame:
+    """draw, key: n draws with replacement, each row with a chance in proportion to its weight.
+
+    Weights are summed up range by range of keys; a draw first finds its range among the ranges' sums and then, in the
+    sorted rows of that range, the last row that begins at or before it. No draw is paired with more than one row."""
+    rows = ranked(df.select(key, F.col(weight).cast("double").alias("_w")).filter("_w > 0"), F.col(key), key, name="_at")
+    part = rows.withColumn("_part", F.floor(F.col("_at") / 100_000))
+    before = F.coalesce(F.sum("_s").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+    sums = part.groupBy("_part").agg(F.sum("_w").alias("_s")).select("_part", before.alias("_low"), "_s")
+    edges = sums.agg(F.sort_array(F.collect_list(F.struct("_low", "_part"))).alias("_edges"), F.sum("_s").alias("_total"))  # a row for 100,000
+    draws = df.sparkSession.range(n).crossJoin(F.broadcast(edges)).filter("_total > 0")
+    target = draws.withColumn("_x", uniform(F.concat(F.lit(seed), F.col("id").cast("string"))) * F.col("_total"))
+    own = F.element_at(F.filter("_edges", lambda e: e["_low"] <= F.col("_x")), -1)
+    asked = target.select(own["_part"].alias("_part"), F.col("_x").alias("_start"), F.col("id").alias("draw"), F.lit(None).cast(df.schema[key].dataType).alias(key), F.lit(1).alias("_order"))
+    within = W.partitionBy("_part").orderBy("_at")
+    starts = part.withColumn("_own", F.sum("_w").over(within) - F.col("_w")).join(sums, "_part")
+    offered = starts.select("_part", (F.col("_own") + F.col("_low")).alias("_start"), F.lit(None).cast("long").alias("draw"), key, F.lit(0).alias("_order"))
+    run = W.partitionBy("_part").orderBy("_start", "_order").rowsBetween(W.unboundedPreceding, 0)
+    return offered.union(asked).withColumn("_found", F.last(key, ignorenulls=True).over(run)).filter("draw IS NOT NULL").select("draw", F.col("_found").alias(key))
+
+
+def epoch_shares(df: DataFrame, key: str, world: int, epoch: int = 0, ratio: int = 1) -> DataFrame:
+    """key, rank, place: each epoch's order of `ratio` times the rows, dealt to `world` readers in turn.
+
+    The order is that of a hash of epoch and number; rows repeat where the total isn't a multiple of the readers."""
+    n = df.count()
+    each = -(-n * ratio // world)
+    numbered = ranked(df.select(key), F.col(key), key, name="_i")
+    numbers = df.sparkSession.range(each * world).withColumn("_u", uniform(F.concat_ws(":", F.lit(epoch), F.col("id"))))
+    placed = ranked(numbers, F.col("_u"), "id", name="_p").select((F.col("id") % max(n, 1)).alias("_i"), (F.col("_p") % world).alias("rank"), F.floor(F.col("_p") / world).alias("place"))
+    return placed.join(numbered, "_i").select(key, "rank", "place")
+
+
+def image_weights(labels: DataFrame, weights: DataFrame, image: str, label: str) -> DataFrame:
+    """image, weight: the sum of its labels' class weights. weights: label, weight (a row a class)."""
+    counts = labels.groupBy(image, label).agg(F.count("*").alias("_n"))
+    return counts.join(weights.select(label, F.col("weight").alias("_w")), label).groupBy(image).agg(F.sum(F.col("_n") * F.col("_w")).alias("weight"))
+
+
+def remapped(column: Column, table: dict) -> Column:
+    """Values by a fixed table; null for what it lacks."""
+    pairs = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    return F.try_element_at(pairs, column)
+
+
+def group_lists(df: DataFrame, label: str, key: str) -> DataFrame:
+    """label, keys (ascending), n, place (from 0 by ascending size, then label). One row holds a label's keys, as asked for."""
+    lists = df.groupBy(label).agg(F.sort_array(F.collect_list(key)).alias("keys"), F.count("*").alias("n"))
+    return ranked(lists, F.col("n"), label, name="place")
+
+
+def one_chunk(df: DataFrame, key: str, chunks: int, number: int) -> DataFrame:
+    """The rows of one of so many chunks of equal length (the last may be shorter), in the key's order."""
+    size = max(-(-df.count() // chunks), 1)
+    return chunked(df, key, size).filter(F.col("chunk") == number).drop("chunk")
+
+
+def smallest_half(df: DataFrame, size: Column, *ties: str) -> DataFrame:
+    """The half of the rows with the smallest sizes, rounded to the nearest even number of rows."""
+    return ranked(df, size, *ties, name="_r").filter(F.col("_r") < round(df.count() * 0.5)).drop("_r")
+
+
+def exclusive_union(generated: DataFrame, custom: DataFrame) -> DataFrame:
+    """Both, with a flag that tells the custom ones."""
+    return generated.withColumn("custom", F.lit(False)).unionByName(custom.withColumn("custom", F.lit(True)))

@@ -69,3 +69,40 @@ def sessions(df: DataFrame, key: str, ts: str, gap: str) -> DataFrame:
 def tumbling(df: DataFrame, ts: str, size: str, slide: str | None = None) -> DataFrame:
     w = F.window(ts, size, slide) if slide else F.window(ts, size)
     return df.groupBy(w.alias("_w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")).select(F.col("_w.start").alias("start"), "event_type", "n", "total")
+
+
+def border_flags(df: DataFrame, key: str, order: list[str], width: int) -> DataFrame:
+    """df with `border`: whether a row is among the first or last `width` of its key."""
+    up, down = W.partitionBy(key).orderBy(*order), W.partitionBy(key).orderBy(*[F.desc(c) for c in order])
+    return df.withColumn("border", (F.row_number().over(up) <= width) | (F.row_number().over(down) <= width))
+
+
+def neighbours(df: DataFrame, key: str, order: list[str], value: str, reach: int, step: int = 1, backwards: bool = False) -> DataFrame:
+    """df with `near`: the values of the rows `step` apart on both sides, null beyond the ends."""
+    w = W.partitionBy(key).orderBy(*order)
+    shifts = [k * step for k in range(-reach, reach + 1)]
+    found = [F.col(value) if k == 0 else F.lag(value, -k).over(w) if k < 0 else F.lead(value, k).over(w) for k in shifts]
+    return df.withColumn("near", F.array(*(reversed(found) if backwards else found)))
+
+
+def running_mean(df: DataFrame, key: str, order: list[str], value: str, reset: int | None = None) -> DataFrame:
+    """df with `mean` of the key's values so far; with `reset` it starts anew after so many rows."""
+    w = W.partitionBy(key).orderBy(*order)
+    if reset is None:
+        return df.withColumn("mean", F.avg(value).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    block = df.withColumn("_b", F.floor((F.row_number().over(w) - 1) / reset))
+    return block.withColumn("mean", F.avg(value).over(W.partitionBy(key, "_b").orderBy(*order).rowsBetween(W.unboundedPreceding, 0))).drop("_b")
+
+
+def count_windows(df: DataFrame, key: str, order: list[str], size: int) -> DataFrame:
+    """df with `window`: the number of its batch of `size` rows in the key's order; the last batch may be shorter."""
+    return df.withColumn("window", F.floor((F.row_number().over(W.partitionBy(key).orderBy(*order)) - 1) / size))
+
+
+def scheduled(step: Column, periods: list[int], values: list[float]) -> Column:
+    """The value of the period a step falls in: the first whose end, in the sum of periods, is at or after it; null beyond."""
+    end, out = 0, None
+    for period, value in zip(periods, values, strict=True):
+        end += period
+        out = F.when(step <= end, F.lit(value)) if out is None else out.when(step <= end, F.lit(value))
+    return out

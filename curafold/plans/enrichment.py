@@ -75,11 +75,29 @@ def ordered(stages: list[Stage]) -> list[Stage]:
     return out
 
 
+def with_fields(df: DataFrame, stage: Stage) -> DataFrame:
+    """df with the stage's fields; new ones are null and have the type of the stage's output."""
+    missing = [f for f in stage.outputs if f not in df.columns]
+    types = df.select(*[stage.outputs[f].alias(f) for f in missing]).schema if missing else []
+    return df.withColumns({f: F.lit(None).cast(types[f].dataType) for f in missing}) if missing else df
+
+
 def enrich(df: DataFrame, stages: list[Stage]) -> DataFrame:
     """Rows for which a stage doesn't apply never reach its function: it gets null and its old value stays."""
     for s in ordered(stages):
-        flag = df.withColumn("_applies", s.applies())
-        missing = {f: F.lit(None).cast("string") for f in s.outputs if f not in df.columns}
-        flag = flag.withColumns(missing) if missing else flag
+        flag = with_fields(df, s).withColumn("_applies", s.applies())
         df = flag.withColumns({f: F.when(F.col("_applies"), F.coalesce(c, F.col(f))).otherwise(F.col(f)) for f, c in s.outputs.items()}).drop("_applies")
     return df
+
+
+def run(df: DataFrame, stages: list[Stage], folder: str) -> DataFrame:
+    """enrich(), with the table written under folder after each stage. A run that was cut off goes on after the last stage
+    that was written whole; Spark's commit marks it, and a stage's place and name make its folder."""
+    spark = df.sparkSession
+    for n, s in enumerate(ordered(stages)):
+        place = f"{folder}/{n:03d}-{s.name}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{place}/_SUCCESS")
+        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            enrich(df, [s]).write.mode("overwrite").parquet(place)
+        df = spark.read.parquet(place)
+    return df
