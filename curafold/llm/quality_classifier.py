@@ -35,7 +35,7 @@ from .common import documents, staged
 from .tokens import CACHE_BYTES, ENTRY, columns, words_of
 
 LABELLED, ROUNDS, SURE = 6000, 3, 0.97
-SELECTED, HELD_BACK, PULL, SEED = 4096, 5, 1e-2, 17
+SELECTED, HELD_BACK, PULL, FEW, SEED = 4096, 5, 1e-2, 24, 17
 #: Rows a feature must stand on for its G squared to be able to tell, so that it counts as one that is tried.
 OFTEN = 4
 #: Texts, copies not counted, that a feature must stand in to be taken from pseudo-labels.
@@ -148,8 +148,10 @@ def _once(docs: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return docs[first], slots[first]
 
 
-def sketches(docs: np.ndarray, slots: np.ndarray, n: int) -> np.ndarray:
-    """A number for each text, from the least of its features' hashes under two orders: copies and most near copies agree, others hardly ever."""
+def sketches(docs: np.ndarray, slots: np.ndarray, texts: pa.Array) -> np.ndarray:
+    """A number for each text, from the least of its features' hashes under two orders: copies and most near copies agree,
+    others hardly ever. A text of few features is told by its whole text."""
+    n = len(texts)
     out = np.zeros(n, np.uint64)
     bounds = np.searchsorted(docs, np.arange(n + 1))
     some = bounds[1:] > bounds[:-1]
@@ -159,6 +161,8 @@ def sketches(docs: np.ndarray, slots: np.ndarray, n: int) -> np.ndarray:
         least = np.zeros(n, np.uint64)
         least[some] = np.minimum.reduceat(mixed, bounds[:-1][some]) if some.any() else 0
         out = (out ^ least) * np.uint64(0xFF51AFD7ED558CCD)
+    for i in np.flatnonzero(np.diff(bounds) < FEW).tolist():
+        out[i] = (zlib.crc32((texts[i].as_py() or "").encode("utf-8", "surrogatepass")) * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
     return out
 
 
@@ -260,11 +264,11 @@ class CoTrained:
 class Sample:
     """Features of the labelled rows; every HELD_BACK-th is held back, and copies share one row's weight."""
 
-    def __init__(self, content: list[np.ndarray], metadata: list[np.ndarray]):
+    def __init__(self, content: list[np.ndarray], metadata: list[np.ndarray], sketch: np.ndarray):
         self.size = len(content)
         flat = lambda sets: (np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate([*sets, np.zeros(0, np.int64)]).astype(np.int64))
         self.features = [flat(content), flat(metadata)]
-        _, copy, copies = np.unique(sketches(*self.features[0], self.size), return_inverse=True, return_counts=True)
+        _, copy, copies = np.unique(sketch, return_inverse=True, return_counts=True)
         self.weight = 1.0 / copies[copy]
         self.back = np.arange(self.size) % HELD_BACK == 0
 
@@ -300,16 +304,17 @@ def _sampled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> tupl
     def run(batches):
         for batch in batches:
             for at, texts in columns(batch):
-                lists = []
-                for of, slots in _both(batch, at, texts):
+                lists, both = [], _both(batch, at, texts)
+                sketch = pa.array(sketches(*both[0], texts).view(np.int64))
+                for of, slots in both:
                     lists.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(len(texts) + 1)).astype("i4")), pa.array(slots)))
-                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(at, len(texts)) for c in (0, 6, 7, 8)], *lists], ["doc_id", *LABELS, "h", *VIEWS])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(at, len(texts)) for c in (0, 6, 7, 8)], sketch, *lists], ["doc_id", *LABELS, "h", "sketch", *VIEWS])
 
-    rows = chosen.mapInArrow(run, "doc_id long, quality int, toxic int, h long, content array<long>, metadata array<long>")
-    one = rows.groupBy("doc_id").agg(F.min_by(F.struct(*LABELS, *VIEWS), F.struct("h", "quality", "toxic")).alias("r")).select("doc_id", "r.*")
+    rows = chosen.mapInArrow(run, "doc_id long, quality int, toxic int, h long, sketch long, content array<long>, metadata array<long>")
+    one = rows.groupBy("doc_id").agg(F.min_by(F.struct(*LABELS, "sketch", *VIEWS), F.struct("h", "quality", "toxic")).alias("r")).select("doc_id", "r.*")
     found = one.toArrow().sort_by("doc_id").combine_chunks()
     lists = [[np.asarray(x.values) for x in found.column(v).combine_chunks()] if len(found) else [] for v in VIEWS]
-    return found.column("doc_id").to_pylist(), [found.column(c).to_pylist() for c in LABELS], Sample(*lists)
+    return found.column("doc_id").to_pylist(), [found.column(c).to_pylist() for c in LABELS], Sample(*lists, found.column("sketch").to_numpy())
 
 
 def _counted(docs: DataFrame, models: dict[str, CoTrained], sampled: list, doc_id: str, text: str) -> DataFrame:
@@ -337,7 +342,7 @@ def _counted(docs: DataFrame, models: dict[str, CoTrained], sampled: list, doc_i
             for at, texts in columns(batch):
                 features, n = _both(batch, at, texts), len(texts)
                 free = ~pc.fill_null(pc.is_in(batch.column(0).slice(at, n), value_set=outside), False).to_numpy(zero_copy_only=False)
-                bit = np.left_shift(np.int64(1), (sketches(*features[0], n) >> np.uint64(58)).astype(np.int64))
+                bit = np.left_shift(np.int64(1), (sketches(*features[0], texts) >> np.uint64(58)).astype(np.int64))
                 marks = [np.zeros((n, len(names)), np.int64) for _ in VIEWS]
                 for k, label in enumerate(LABELS):
                     if label in models:

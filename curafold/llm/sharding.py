@@ -67,12 +67,12 @@ def least_thinkable(largest: list[int], total: int, shards: int) -> int:
 
 
 def minimax_cuts(groups: DataFrame, shards: int, buckets: int = BUCKETS) -> list[int]:
-    """Numbers of the groups at which shards 1, 2, ... start. groups: key (from 0, one row each), size.
+    """Numbers of the groups at which shards 1, 2, ... start. groups: key (one row each), size.
 
     Keys are counted in aligned intervals of a power of two, which end at groups above the least thinkable capacity. Only
     intervals that a cut can reach are halved on, widest first, about `buckets` at a time, until they hold one key."""
-    n, total = groups.agg(F.max("key"), F.sum("size")).first()
-    if n is None:
+    first, last, total = groups.agg(F.min("key"), F.max("key"), F.sum("size")).first()
+    if last is None:
         return []
     top = groups.orderBy(F.desc("size"), "key").limit(shards + 1).select("key", "size").collect()
     floor = least_thinkable([int(r["size"]) for r in top], int(total), shards)
@@ -84,12 +84,12 @@ def minimax_cuts(groups: DataFrame, shards: int, buckets: int = BUCKETS) -> list
         part = part + (F.col("key") > w).cast("int")
     normal = groups.filter(~F.col("key").isin(walls)) if walls else groups
     bits = max(1, buckets.bit_length() - 1)
-    shift, inside = max(0, (n + 1).bit_length() - bits), F.lit(True)
+    shift, inside = max(0, (last - first + 1).bit_length() - bits), F.lit(True)
     known: dict[int, tuple[int, int, int]] = {w: (0, above[w], w) for w in walls}  # start: (shift, bytes, first key of the aligned interval)
     while True:
         for k, j, size in normal.filter(inside).groupBy(F.shiftright("key", shift).alias("k"), part.alias("j")).agg(F.sum("size").alias("s")).collect():
             first = int(k) << shift
-            known[max(first, walls[j - 1] + 1 if j else 0)] = (shift, int(size), first)
+            known[max(first, walls[j - 1] + 1) if j else first] = (shift, int(size), first)
         order = sorted(known)
         sizes = np.array([known[x][1] for x in order], dtype=np.int64)
         many = np.array([known[x][0] > 0 for x in order])
