@@ -1,19 +1,21 @@
 """Operator 10, personal data by bootstrapped contextual extraction, in DataFrame functions only.
 
-Four kinds are found by their own patterns (email, ip, card, phone). These seeds induce lexical patterns:
-the word before them. Other identifier-like tokens (six characters or more, three digits or more) are
-instances without a label. Patterns and instance values form a bipartite graph; rounds of two aggregations
-score a pattern by the share of its different values that are personal (smoothed), and an unlabelled value
-by its best pattern. Values scored at least CONFIDENT through a pattern with SUPPORT seeds are unseen
-identifiers; their spans have kind `id`. Seeds always stay.
-
-Positions are code points, end exclusive, and come from the lengths of the parts between matches, so one
-scan serves all matches of a kind. All repeated groups are possessive and runs are only entered at their
-start (or where the last match ended), which keeps matching linear on very long runs.
+Four kinds are found by their own patterns (email, ip, card, phone). These seeds induce lexical patterns: the word
+before them, the two words before, the word after, and the words on both sides. Other identifier-like tokens (six
+characters or more, three digits or more) are instances without a label. Patterns and instance values form a
+bipartite graph; in rounds of two aggregations a pattern is scored by the share of its different values that are
+personal (smoothed), and an unlabelled value by its best pattern. A pattern takes part once SUPPORT of its values are
+seeds or were found in an earlier round, so that what is found induces further patterns. Values scored at least CONFIDENT
+are unseen identifiers; their spans have kind `id`. Seeds always stay.
+
+Positions are code points, end exclusive. They come from running sums over the lengths of the parts between
+matches; running sums and maxima take a few passes over an array (see _running), and texts are read through blocks of
+BLOCK code points, so that the work in a row grows with its length even for a log of many addresses. All repeated
+groups are possessive and runs are only entered at their start (or where the last match ended), which keeps matching linear on very long runs.
 
 Defined cases: null and empty texts have no spans (base_sha256 of the empty string, spans empty); null and
 repeated doc_ids each give a row; an empty table gives an empty table; other columns are only carried when
-asked for.
+asked for. A token with the character U+E000 is no instance: it stands for seeds where tokens are looked for.
 """
 
 from __future__ import annotations
@@ -31,24 +33,65 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-TOKEN = r"(?<![A-Za-z0-9._@:/+-])(?=[A-Za-z._@:/+-]*+[0-9])[A-Za-z0-9._@:/+-]++"
-ROUNDS, SMOOTHING, SUPPORT, CONFIDENT, LEFT = 3, 2.0, 5, 0.8, 48
+MASK = "\ue000"
+TOKEN = rf"(?<![A-Za-z0-9._@:/+{MASK}-])(?=[A-Za-z._@:/+{MASK}-]*+[0-9])[A-Za-z0-9._@:/+{MASK}-]++"
+ROUNDS, SMOOTHING, SUPPORT, CONFIDENT, SIDE, BLOCK = 3, 2.0, 5, 0.8, 52, 1024
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
+def _bound(value: Column, use) -> Column:
+    """use(value), with value evaluated once a row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(x: Column, combine) -> Column:
+    """The array's running sums or maxima: each pass combines an element with the 15 at once, twice, ... a distance before
+    it, and the distance grows sixteenfold while it is less than the array's length (up to 2^28)."""
+    zero = F.lit(0)
+
+    def passes(whole: Column) -> Column:
+        def further(a: Column, distance: Column) -> Column:
+            def one(v: Column, i: Column) -> Column:
+                return F.aggregate(F.sequence(F.lit(1), F.lit(15)), v, lambda acc, k: combine(acc, F.coalesce(F.get(a, i - k * distance), zero)))
+
+            return F.transform(a, one)
+
+        return F.aggregate(F.filter(F.array(*[F.lit(16**k) for k in range(7)]), lambda d: d < F.size(whole)), whole, further)
+
+    return _bound(x, passes)
+
+
+def _sums(x: Column) -> Column:
+    return _running(x, lambda a, b: a + b)
+
+
+def _before(ends: Column, use) -> Column:
+    """use(reach), where reach(i) is the furthest of the first i ends, 0 for none."""
+    return _bound(_running(ends, F.greatest), lambda most: use(lambda i: F.coalesce(F.get(most, i - 1), F.lit(0))))
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """Array of (start, end, value) of the leftmost non-overlapping matches."""
-    parts = F.transform(F.split(text, pattern, -1), F.length)
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("found"))
+    gaps = F.transform(F.split(text, pattern, -1), F.length)
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + F.length(x["value"])
-        return F.struct(end.alias("at"), F.concat(acc["found"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))).alias("found"))
+    def placed(v: Column) -> Column:
+        steps = F.zip_with(F.slice(gaps, 1, F.size(v)), v, lambda gap, x: gap + F.length(x))
+        at = lambda sums: F.transform(v, lambda x, i: F.struct((F.get(sums, i) - F.length(x)).alias("start"), F.get(sums, i).alias("end"), x.alias("value")))
+        return F.when(F.size(v) == 0, F.array().cast("array<struct<start:int,end:int,value:string>>")).otherwise(_bound(_sums(steps), at))
 
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.filter(F.arrays_zip(parts.alias("gap"), values.alias("value")), lambda x: x["value"].isNotNull())
-    return F.aggregate(pairs, empty, step, lambda acc: acc["found"])
+    return _bound(values, placed)
+
+
+def _blocks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _part(blocks: Column, start: Column, end: Column) -> Column:
+    """The text from start to end, read from the blocks it touches."""
+    first = F.floor(start / BLOCK).cast("int")
+    near = F.array_join(F.slice(blocks, first + 1, F.floor((end - 1) / BLOCK).cast("int") - first + 1), "")
+    return F.when(end > start, F.substring(near, start - first * BLOCK + 1, end - start)).otherwise("")
 
 
 def _luhn(digits: Column) -> Column:
@@ -92,22 +135,45 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*[of_kind(k, kind) for k, kind in enumerate(KINDS[:4])]))
 
 
+def _masked(blocks: Column, spans: Column, n: Column) -> Column:
+    """The text with each character of a span replaced by MASK."""
+
+    def pieces(reach) -> Column:
+        def one(s: Column, i: Column) -> Column:
+            return F.concat(_part(blocks, reach(i), s["start"]), F.repeat(F.lit(MASK), F.greatest(s["end"] - F.greatest(s["start"], reach(i)), F.lit(0))))
+
+        return F.concat(F.array_join(F.transform(spans, one), ""), _part(blocks, reach(F.size(spans)), n))
+
+    return _before(F.transform(spans, lambda s: s["end"]), pieces)
+
+
 def _instances(text: Column, spans: Column) -> Column:
-    """(start, end, kind or null, value, pattern): the seeds, and identifier-like tokens that touch no seed."""
-    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    tokens = F.when(text.rlike("[0-9]"), _matches(text, TOKEN)).otherwise(empty)
-    shaped = F.filter(tokens, lambda t: F.length(t["value"]).between(6, 64) & (F.length(F.regexp_replace(t["value"], "[^0-9]", "")) >= 3))
+    """(start, end, kind or null, value, patterns): the seeds, and identifier-like tokens that touch no seed."""
+    n = F.length(text)
+
+    def patterns(blocks: Column, start: Column, end: Column) -> Column:
+        before, after = _part(blocks, F.greatest(start - SIDE, F.lit(0)), start), _part(blocks, end, end + SIDE)
+
+        def named(words: Column) -> Column:
+            one, two, right = (F.get(words, F.lit(k)) for k in range(3))
+            some = lambda kind, x, there: F.when(there, F.concat(F.lit(kind), x))
+            both = some("b:", F.concat(one, F.lit(" _ "), right), (one != "") & (right != ""))
+            return F.array_compact(F.array(some("1:", one, one != ""), some("2:", two, two != ""), some("r:", right, right != ""), both))
+
+        found = [(before, r"(\S{1,24})\s*$"), (before, r"(\S{1,24}\s+\S{1,24})\s*$"), (after, r"^\s*(\S{1,24})")]
+        return _bound(F.array(*[F.lower(F.regexp_extract(x, p, 1)) for x, p in found]), named)
 
-    def pattern(start: Column) -> Column:
-        before = F.substring(text, F.greatest(start - LEFT, F.lit(0)) + 1, F.least(start, F.lit(LEFT)))
-        return F.lower(F.regexp_extract(before, r"(\S{1,24})\s*$", 1))
+    def every(blocks: Column) -> Column:
+        def one(x: Column, kind: Column, value: Column) -> Column:
+            return F.struct(x["start"].alias("start"), x["end"].alias("end"), kind.cast("int").alias("kind"), value.alias("value"), patterns(blocks, x["start"], x["end"]).alias("patterns"))
 
-    def one(x: Column, kind: Column, value: Column) -> Column:
-        return F.struct(x["start"].alias("start"), x["end"].alias("end"), kind.cast("int").alias("kind"), value.alias("value"), pattern(x["start"]).alias("pattern"))
+        free = _matches(F.when(F.size(spans) > 0, _masked(blocks, spans, n)).otherwise(text), TOKEN)
+        shaped = F.filter(free, lambda t: (F.length(t["value"]) >= 6) & (F.length(F.regexp_replace(t["value"], "[^0-9]", "")) >= 3) & ~F.contains(t["value"], F.lit(MASK)))
+        seeds = F.transform(spans, lambda s: one(s, s["kind"], _part(blocks, s["start"], s["end"])))
+        return F.concat(seeds, F.transform(shaped, lambda t: one(t, F.lit(None), t["value"])))
 
-    seeds = F.transform(spans, lambda s: one(s, s["kind"], F.substring(text, s["start"] + 1, s["end"] - s["start"])))
-    free = F.filter(shaped, lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    return F.concat(seeds, F.transform(free, lambda t: one(t, F.lit(None), t["value"])))
+    empty = F.array().cast("array<struct<start:int,end:int,kind:int,value:string,patterns:array<string>>>")
+    return F.when(text.rlike("[0-9]") | (F.size(spans) > 0), _bound(_blocks(text), every)).otherwise(empty)
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -119,12 +185,14 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tupl
 
 def discover(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """_row, found: spans of unseen identifiers."""
-    instances = scanned.select("_row", F.explode("instances").alias("i")).select("_row", "i.*").filter("pattern <> ''")
-    edges = staged(instances.groupBy("pattern", "value").agg(F.max(F.col("kind").isNotNull().cast("int")).alias("seed")), "pii_edges")
+    instances = scanned.select("_row", F.explode("instances").alias("i")).select("_row", "i.*")
+    own = instances.select(F.explode("patterns").alias("pattern"), "value", F.col("kind").isNotNull().cast("int").alias("seed"))
+    edges = staged(own.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pii_edges")
     values = edges.groupBy("value").agg(F.max("seed").cast("double").alias("score"))
     for _ in range(rounds):
-        shares = edges.join(values, "value").groupBy("pattern").agg((F.sum("score") / (F.count("*") + SMOOTHING)).alias("share"), F.sum("seed").alias("seeds"))
-        patterns = shares.filter(F.col("seeds") >= SUPPORT)
+        sure = F.count_if(F.col("score") >= CONFIDENT)
+        shares = edges.select("pattern", "value").join(values, "value").groupBy("pattern").agg((F.sum("score") / (F.count("*") + SMOOTHING)).alias("share"), sure.alias("personal"))
+        patterns = shares.filter(F.col("personal") >= SUPPORT).select("pattern", "share")
         scored = edges.join(patterns, "pattern", "left").groupBy("value").agg(F.max("seed").alias("seed"), F.max(F.coalesce("share", F.lit(0.0))).alias("best"))
         values = staged(scored.select("value", F.when(F.col("seed") == 1, 1.0).otherwise(F.col("best")).alias("score")), "pii_scores")
     sure = values.filter(F.col("score") >= CONFIDENT).select("value")
@@ -149,13 +217,14 @@ def written(spans: Column) -> Column:
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each span, or run of overlapping spans, replaced by its first kind in angle brackets."""
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        clear = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.get(names, s["kind"]))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], clear).otherwise(acc["out"]).alias("out"))
+    def pieces(blocks: Column, reach) -> Column:
+        def one(s: Column, i: Column) -> Column:
+            return F.when(s["start"] >= reach(i), F.concat(_part(blocks, reach(i), s["start"]), F.get(names, s["kind"]))).otherwise("")
 
-    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+        return F.concat(F.array_join(F.transform(spans, one), ""), _part(blocks, reach(F.size(spans)), F.length(text)))
+
+    return _bound(_blocks(text), lambda blocks: _before(F.transform(spans, lambda s: s["end"]), lambda reach: pieces(blocks, reach)))
 
 
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -177,5 +246,3 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     counts = [of_kind(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS[:4])]
     return df.select("doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("all_spans")).alias("spans"))
-
-
