@@ -10,6 +10,7 @@ from .functions import criteria as C
 from .functions import scalars as X
 from .functions.paths import hashed_name
 from .operators import evaluate as E
+from .operators import regions as G
 from .operators import relational as R
 from .operators import sequences as S
 from .operators import vectors as V
@@ -262,3 +263,107 @@ def answers(t):
 def candidate_union(t):
     caption = lambda df, key: df.select(F.col(key).alias("id"), F.col("text").alias("caption"))
     return R.exclusive_union(caption(t.documents, "doc_id"), caption(t.benchmark, "item_id"))
+
+
+# ---- regions and points
+
+
+@query(f"""WITH {_BOX}, c AS (SELECT image, det, (x1 + x2) / 2 AS x, (y1 + y2) / 2 AS y, (x2 - x1) * 1.2 + 3 AS w, (y2 - y1) * 1.2 + 3 AS h FROM b)
+ SELECT image, det, round(least(greatest(x - w / 2, 0), 60), 6) AS x1, round(least(greatest(y - h / 2, 0), 50), 6) AS y1, round(least(greatest(x + w / 2, 0), 60), 6) AS x2, round(least(greatest(y + h / 2, 0), 50), 6) AS y2 FROM c""")
+def crop_boxes(t):
+    cut = G.padded_crop(_xyxy(), 60, 50)
+    return _boxes(t).select("image", "det", *[_r(c, n) for c, n in zip(cut, ("x1", "y1", "x2", "y2"), strict=True)])
+
+
+@query("""WITH s AS (SELECT p_partkey, (700 + p_size * 20)::int AS w, (780 + p_partkey % 300)::int AS h FROM part), l AS (SELECT *, w > 800 AND h > 800 AS large FROM s),
+ k AS (SELECT *, CASE WHEN large THEN list_distinct(list_append(range(0, w - 512, 416), (w - 512)::bigint)) ELSE [0::bigint] END AS xs, CASE WHEN large THEN list_distinct(list_append(range(0, h - 512, 416), (h - 512)::bigint)) ELSE [0::bigint] END AS ys FROM l)
+ SELECT p_partkey, x, y, CASE WHEN large THEN 512 ELSE w END AS pw, CASE WHEN large THEN 512 ELSE h END AS ph FROM k, LATERAL (SELECT unnest(xs) AS x) a, LATERAL (SELECT unnest(ys) AS y) b""")
+def patch_grid(t):
+    s = t.part.select("p_partkey", (700 + F.col("p_size") * 20).cast("int").alias("w"), (780 + F.col("p_partkey") % 300).cast("int").alias("h"))
+    return G.patches(s).select("p_partkey", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "pw", "ph")
+
+
+@query("""WITH s AS (SELECT p_partkey, 100 + p_size AS w, 100 + p_partkey % 50 AS h FROM part), c AS (SELECT p_partkey, w, h, k * 80 AS cw, k * 60 AS ch, k AS scale FROM s, (SELECT unnest([1.5::double, 1.0::double]) AS k) WHERE k * 80 <= w AND k * 60 <= h),
+ g AS (SELECT *, greatest(1 - power(((((x + cw / 2) / w - 1.0::double / 3 + 1) % 2.0::double) * 0.5 - 0.5) * 16, 2), 0) + scale AS score FROM (SELECT *, unnest(range(0, floor(w - cw)::bigint + 1, 8)) AS x FROM (SELECT *, unnest(range(0, floor(h - ch)::bigint + 1, 8)) AS y FROM c)))
+ SELECT p_partkey, scale, x, y, round(score, 6) AS score FROM g QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, scale DESC, y, x) = 1""")
+def crop_candidates(t):
+    s = t.part.select("p_partkey", (100 + F.col("p_size")).alias("w"), (100 + F.col("p_partkey") % 50).alias("h"))
+    crops = G.crop_grid(s, 80, 60, [1.5, 1.0], 8)
+    score = X.thirds((F.col("x") + F.col("cw") / 2) / F.col("w")) + F.col("scale")
+    return G.best_crop(crops, ["p_partkey"], score).select("p_partkey", "scale", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), _r("score", "score"))
+
+
+@query(f"WITH {_BOX} SELECT image, list_transform(list_sort(list({{'x': (x1 + x2) / 2, 'y': (y1 + y2) / 2, 'b': [x1, y1, x2, y2]}})), lambda k: k.b) AS boxes FROM b GROUP BY image")
+def person_order(t):
+    return _boxes(t).groupBy("image").agg(F.collect_list(F.array("x1", "y1", "x2", "y2")).alias("b")).select("image", G.left_to_right(F.col("b")).alias("boxes"))
+
+
+@query("""WITH e AS (SELECT vec_id, embedding::double[] AS v FROM embeddings), p AS (SELECT vec_id, list_position(v, list_max(v)) - 1 AS place, list_max(v) AS m, v FROM e)
+ SELECT vec_id, (place % 8)::int AS x, (place // 8)::int AS y, round(m, 6) AS score, round(list_sum(list_transform(range(0, 64), lambda i: CASE WHEN (i + 1) % 8 <> 0 THEN abs(v[i + 2] - v[i + 1]) ELSE 0 END + CASE WHEN i < 56 THEN abs(v[i + 9] - v[i + 1]) ELSE 0 END)), 5) AS variation FROM p""")
+def heat_peaks(t):
+    v = V.doubles(F.col("embedding"))
+    return t.embeddings.select("vec_id", v.alias("v")).select("vec_id", G.peak(F.col("v"), 8).alias("p"), _r(G.variation(F.col("v"), 8), "variation", 5)).select("vec_id", "p.x", "p.y", _r("p.score", "score"), "variation")
+
+
+@query("SELECT event_id, floor(value / 10) AS cx FROM events QUALIFY row_number() OVER (PARTITION BY floor(value / 10), floor(user_id / 10) ORDER BY event_id) = 1")
+def thinned_points(t):
+    return G.thinned(t.events.select("event_id", "value", "user_id"), "value", "user_id", 10, "event_id").select("event_id", F.floor(F.col("value") / 10).cast("double").alias("cx"))
+
+
+@query("""WITH x AS (SELECT l_orderkey, l_linenumber, abs(l_quantity / 20 - 1.2) AS d FROM lineitem) SELECT l_orderkey, l_linenumber, round(CASE WHEN d <= 1 THEN 1.5 * d * d * d - 2.5 * d * d + 1 WHEN d <= 2 THEN -0.5 * d * d * d + 2.5 * d * d - 4 * d + 2 ELSE 0 END, 6) AS weight FROM x""")
+def cubic_weights(t):
+    return t.lineitem.select("l_orderkey", "l_linenumber", _r(G.cubic(F.col("l_quantity") / 20 - 1.2), "weight"))
+
+
+@query(f"""WITH {_BOX}, c AS (SELECT image, det, [[x1, y1], [x2, y1], [x2, y2], [x1, y2]] AS ps FROM b), m AS (SELECT image, det, list_transform(ps, lambda p: (0.9 * p[1] - 0.1 * p[2] + 5) / (0.001 * p[1] + 1)) AS xs,
+ list_transform(ps, lambda p: (0.1 * p[1] + 0.9 * p[2]) / (0.001 * p[1] + 1)) AS ys FROM c) SELECT image, det, round(100 - list_max(xs), 6) AS x1, round(list_min(ys), 6) AS y1, round(100 - list_min(xs), 6) AS x2, round(list_max(ys), 6) AS y2 FROM m""")
+def moved_boxes(t):
+    box = G.flipped(G.moved(_xyxy(), [[0.9, -0.1, 5.0], [0.1, 0.9, 0.0], [0.001, 0.0, 1.0]]), 100)
+    return _boxes(t).select("image", "det", *[_r(c, n) for c, n in zip(box, ("x1", "y1", "x2", "y2"), strict=True)])
+
+
+@query()
+def mahalanobis(t):
+    return G.distances(t.embeddings, "vec_id", "embedding")
+
+
+@query()
+def cluster_map(t):
+    return G.mapped(t.embeddings, "vec_id", "embedding")
+
+
+# ---- lookups and logs
+
+
+@query("SELECT c_custkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) AS present FROM customer")
+def file_presence(t):
+    return R.present(t.customer.select("c_custkey"), t.orders, "c_custkey", "o_custkey")
+
+
+@query("SELECT c.c_custkey, n.n_name AS name FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey")
+def name_lookup(t):
+    names = t.nation.select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("name"))
+    return R.named(t.customer.select("c_custkey", "c_nationkey"), "c_nationkey", names).select("c_custkey", "name")
+
+
+@query("SELECT vec_id, label FROM embeddings WHERE label = (vec_id % 10)")
+def agreed_labels(t):
+    second = t.embeddings.select("vec_id", (F.col("vec_id") % 10).cast("int").alias("label"))
+    return R.agreed(t.embeddings.select("vec_id", "label"), second, "vec_id", "label")
+
+
+@query("SELECT r_regionkey, r_name, i AS round FROM region, range(3) k(i)")
+def repeated_rows(t):
+    return R.repeated(t.region.select("r_regionkey", "r_name"), 3).withColumn("round", F.col("round").cast("long"))
+
+
+@query("""WITH u AS (SELECT DISTINCT l_partkey, l_quantity FROM lineitem) SELECT l_partkey, l_quantity, row_number() OVER (ORDER BY l_quantity DESC, l_partkey) - 1 AS place FROM u""")
+def unique_log(t):
+    rows = t.lineitem.select("l_partkey", "l_quantity")
+    return R.logged(rows.filter("l_quantity > 10"), rows, "l_quantity")
+
+
+@query("""SELECT regexp_extract(line, 'step (\\d+) value ([0-9.]+)', 1)::bigint AS step, regexp_extract(line, 'step (\\d+) value ([0-9.]+)', 2)::double AS value FROM (SELECT 'step ' || event_id || ' value ' || (event_id % 7) || '.5 end' AS line FROM events)""".replace("\\\\", "\\"))
+def scraped_log(t):
+    lines = t.events.select(F.concat(F.lit("step "), F.col("event_id"), F.lit(" value "), F.col("event_id") % 7, F.lit(".5 end")).alias("line"))
+    return R.scraped(lines, r"step (\d+) value ([0-9.]+)")

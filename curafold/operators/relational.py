@@ -196,3 +196,36 @@ def smallest_half(df: DataFrame, size: Column, *ties: str) -> DataFrame:
 def exclusive_union(generated: DataFrame, custom: DataFrame) -> DataFrame:
     """Both, with a flag that tells the custom ones."""
     return generated.withColumn("custom", F.lit(False)).unionByName(custom.withColumn("custom", F.lit(True)))
+
+
+def present(df: DataFrame, listing: DataFrame, key: str, other: str = "path") -> DataFrame:
+    """df with `present`: whether its key is among the listed paths, however often it is listed."""
+    held = listing.select(F.col(other).alias(key), F.lit(True).alias("present")).distinct()
+    return df.join(held, key, "left").fillna(False, ["present"])
+
+
+def repeated(df: DataFrame, times: int) -> DataFrame:
+    """df once for each of so many rounds."""
+    return df.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
+
+
+def agreed(first: DataFrame, second: DataFrame, key: str, label: str) -> DataFrame:
+    """Rows of first to which second gives the same label."""
+    return first.join(second.select(key, F.col(label).alias("_l")), key).filter(F.col(label) == F.col("_l")).drop("_l")
+
+
+def named(df: DataFrame, code: str, names: DataFrame) -> DataFrame:
+    """df with the name of its code; names: code, name (unique codes)."""
+    return df.join(names.select(F.col("code").alias(code), "name"), code, "left")
+
+
+def logged(known: DataFrame, new: DataFrame, score: str) -> DataFrame:
+    """A log with further rows: different rows only, with their place by falling score."""
+    rows = known.unionByName(new).distinct()
+    return ranked(rows, -F.col(score), *rows.columns, name="place")
+
+
+def scraped(lines: DataFrame, pattern: str, line: str = "line") -> DataFrame:
+    """step, value: the two groups of a pattern in lines that have it."""
+    part = lambda k: F.regexp_extract(line, pattern, k)
+    return lines.filter(F.col(line).rlike(pattern)).select(part(1).cast("long").alias("step"), part(2).cast("double").alias("value"))

@@ -30,12 +30,18 @@ def clip_frames(lines: DataFrame) -> DataFrame:
     return lines.select(F.get(parts, F.lit(0)).alias("clip"), F.explode(F.sequence(F.lit(0), F.get(parts, F.lit(1)).cast("int") - 1)).alias("idx")).withColumn("key", F.concat_ws("/", "clip", F.lpad(F.col("idx").cast("string"), 8, "0")))
 
 
-def smoothed(df: DataFrame, key: str, order: list[str], value: str, weight: float) -> DataFrame:
-    """key, n, last: the recursive mean s = w*s + (1-w)*v of each key's values in order, seeded by the first."""
-    ordered = F.sort_array(F.collect_list(F.struct(*order, F.col(value).cast("double").alias("_v"))))
-    values = df.filter(F.col(value).isNotNull()).groupBy(key).agg(ordered.alias("_all"))
-    last = F.aggregate(F.slice(F.col("_all._v"), 2, F.size("_all")), F.get(F.col("_all._v"), F.lit(0)), lambda s, v: s * weight + v * (1 - weight))
-    return values.select(key, F.size("_all").cast("long").alias("n"), last.alias("last"))
+def smoothed(df: DataFrame, key: str, order: list[str], value: str, weight: float, block: int = 4096) -> DataFrame:
+    """key, n, last: the recursive mean s = w*s + (1-w)*v of each key's values in order, seeded by the first.
+
+    A block of values takes s to a*s + b, so blocks are folded apart and a key's row holds one pair for each block."""
+    rank = F.row_number().over(W.partitionBy(key).orderBy(*order)) - 1
+    rows = df.filter(F.col(value).isNotNull()).select(key, rank.alias("_i"), F.col(value).cast("double").alias("_v"))
+    parts = rows.groupBy(key, F.floor(F.col("_i") / block).alias("_b")).agg(F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_all"))
+    start = F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b"))
+    step = lambda s, x: F.struct((s["a"] * weight).alias("a"), (s["b"] * weight + x["_v"] * (1 - weight)).alias("b"))
+    folded = parts.select(key, "_b", F.size("_all").alias("_n"), F.get(F.col("_all._v"), F.lit(0)).alias("_first"), F.aggregate("_all", start, step).alias("_f"))
+    keys = folded.groupBy(key).agg(F.sum("_n").alias("n"), F.min_by("_first", "_b").alias("_seed"), F.sort_array(F.collect_list(F.struct("_b", "_f"))).alias("_fs"))
+    return keys.select(key, "n", F.aggregate("_fs", F.col("_seed"), lambda s, x: s * x["_f"]["a"] + x["_f"]["b"]).alias("last"))
 
 
 def best_so_far(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:

@@ -72,3 +72,41 @@ def test_precision_recall_orders_ties_of_a_constant(spark):
     rows = [(0, 0.5, i % 2, i) for i in range(50)]
     out = E.precision_recall(spark.createDataFrame(rows, "cls long, conf double, tp int, id long"), spark.createDataFrame([(0, 25)], "cls long, n_labels long")).orderBy("n").collect()
     assert [r.n for r in out] == list(range(1, 51)) and abs(out[-1].recall - 1) < 1e-12
+
+
+def test_mahalanobis_and_map(spark):
+    from curafold.operators import regions as G
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(60, 4)) @ rng.normal(size=(4, 4))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "k long, v array<double>").repartition(3)
+    got = {r.k: r.distance for r in G.distances(df, "k", "v").collect()}
+    gap = x - x.mean(axis=0)
+    want = np.sqrt(np.einsum("ij,jk,ik->i", gap, np.linalg.inv(np.cov(x.T)), gap))
+    assert np.allclose([got[i] for i in range(60)], want)
+    drawn = np.array([[r.p0, r.p1] for r in G.mapped(df, "k", "v").orderBy("k").collect()])
+    values, vectors = np.linalg.eigh(np.cov(x.T))
+    assert np.allclose(np.abs(np.corrcoef(drawn[:, 0], x @ vectors[:, -1])[0, 1]), 1)
+
+
+def test_hand_patch(spark):
+    from curafold.operators import regions as G
+
+    row = spark.createDataFrame([([0.0] * 5 + [0.1, 0.3, 0.2, 0.2], [0.0] * 5 + [0.1, 0.1, 0.2, 0.2], [0], [5, 6, 7])], "x array<double>, y array<double>, good array<int>, bad array<int>")
+    found = row.select(G.hand_patch(F.col("x"), F.col("y"), F.col("good"), 5, 8).alias("p"), G.hand_patch(F.col("x"), F.col("y"), F.col("bad"), 5, 8).alias("q")).first()
+    assert np.allclose(list(found.p), [0.0, -0.05, 0.4, 0.35]) and found.q is None
+
+
+def test_smoothing_in_blocks(spark):
+    from curafold.operators import sequences as S
+
+    rng = np.random.default_rng(3)
+    values = rng.normal(size=500).tolist()
+    df = spark.createDataFrame([(i % 3, i, v if i % 50 else None) for i, v in enumerate(values)], "k int, t int, v double").repartition(4)
+    got = {r.k: (r.n, r.last) for r in S.smoothed(df, "k", ["t"], "v", 0.9, block=7).collect()}
+    for k in range(3):
+        own = [v for i, v in enumerate(values) if i % 3 == k and i % 50]
+        s = own[0]
+        for v in own[1:]:
+            s = s * 0.9 + v * (1 - 0.9)
+        assert got[k][0] == len(own) and abs(got[k][1] - s) < 1e-12
