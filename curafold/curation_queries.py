@@ -40,10 +40,10 @@ def named_criteria(t):
     return _rated(t).select("l_orderkey", "l_linenumber", *[c.alias(n) for n, c in flags.items()])
 
 
-@query(f"""WITH {_ASSET} SELECT l_orderkey, l_linenumber, W * H AS pixels, round(W / H, 6) AS ratio, CASE WHEN CAP IS NULL THEN [l_orderkey, l_linenumber] END AS pair FROM a""")
+@query(f"""WITH {_ASSET} SELECT l_orderkey, l_linenumber, W * H AS pixels, round(W / H + 1e-9, 6) AS ratio, CASE WHEN CAP IS NULL THEN [l_orderkey, l_linenumber] END AS pair FROM a""")
 def enrich_new_columns(t):
     pair = F.array(F.col("l_orderkey"), F.col("l_linenumber").cast("long"))
-    stages = [Stage("size", {"pixels": C.pixels(), "ratio": F.round(F.col("W") / F.col("H"), 6)}), Stage("pair", {"pair": pair}, {"pixels"}, criterion=F.col("CAP").isNull())]
+    stages = [Stage("size", {"pixels": C.pixels(), "ratio": F.round(F.col("W") / F.col("H") + 1e-9, 6)}), Stage("pair", {"pair": pair}, {"pixels"}, criterion=F.col("CAP").isNull())]
     return enrich(_rated(t), stages).select("l_orderkey", "l_linenumber", "pixels", "ratio", "pair")
 
 
