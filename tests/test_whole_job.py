@@ -22,8 +22,8 @@ def test_all_boxes_are_attached(spark):
 
 def test_all_places_of_vectors(spark):
     n = spark.read.parquet(f"{FOLDER}/embeddings.parquet").count()
-    assert QUERIES["explode_detections_whole"](spark, FOLDER).count() == 64 * n
-    stats = QUERIES["mvg_stats_whole"](spark, FOLDER).collect()
+    assert QUERIES["explode_detections"](spark, FOLDER).count() == 64 * n
+    stats = QUERIES["mvg_stats"](spark, FOLDER).collect()
     assert len(stats) == 2080 and all(r.mean_i is not None and r.mean_j is not None for r in stats)
 
 
