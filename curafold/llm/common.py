@@ -6,28 +6,27 @@ import re
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space of all word contracts; a word is a run of anything else.
 SPACES = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACES}]+"
+ROWS_A_BATCH = 2000
 WORDS = re.compile(WORD)
 WORDS_BYTES = re.compile(WORD.encode())
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A folder that the driver and all executors reach.
-
-    spark.checkpoint.dir where the cluster names one; else, in local mode only, a temporary folder
-    (the setting is then made), and on any other master the warehouse.
-    """
+    """A folder that the driver and all executors reach: spark.checkpoint.dir. Only in local mode, where it may be
+    unset, a temporary folder takes its place (the setting is then made); on any other master that is an error."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not named and spark.sparkContext.master.split("[")[0] == "local":
+    if not named:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="checkpoints-")
         spark.conf.set("spark.checkpoint.dir", named)
-    if not named:
-        named = spark.conf.get("spark.sql.warehouse.dir") + "/_work"
     return named.rstrip("/") + "/" + spark.sparkContext.applicationId
 
 
@@ -49,6 +48,8 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
+    """A table of the folder. Rows go to Python workers in batches of at most ROWS_A_BATCH, as whole texts are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_A_BATCH))
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -65,15 +66,20 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def having_rows(docs: DataFrame, rows: DataFrame, content: Column, doc_id: str = "doc_id") -> DataFrame:
-    """The rows of docs whose id, null included, and content are a row of the two columns of rows; of rows equal in both one. The same join at every size."""
-    own, stay, held = (unused(docs, c) for c in ("_content", "_stay", "_held"))
-    keys = rows.toDF(stay, held)
-    marked, once = docs.withColumn(own, content), keys.distinct().hint("shuffle_hash")
-    kept = marked.join(once, marked[doc_id].eqNullSafe(once[stay]) & (marked[own] == once[held]), "left_semi")
-    repeated = keys.groupBy(stay, held).count().filter("count > 1")
-    return (kept if repeated.isEmpty() else kept.dropDuplicates([doc_id, own])).drop(own)
+def with_row_keys(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs with two columns that together name each row, and their names: the same however often docs is read.
+
+    Rows of Parquet files are named by file and place in it; any other rows are written once with their numbers."""
+    one, two = unused(docs, "_file"), unused(docs, "_place")
+    if "_metadata" not in docs.columns:
+        try:
+            return docs.select("*", F.xxhash64("_metadata.file_path").alias(one), F.col("_metadata.row_index").alias(two)), [one, two]
+        except AnalysisException:  # not rows of files
+            pass
+    return staged(docs.withColumns({one: F.lit(0).cast("long"), two: F.monotonically_increasing_id()}), "keyed"), [one, two]
 
 
-def utf8(value) -> bytes:
-    return value.as_buffer().to_pybytes() if value.is_valid else b""
+def having_keys(keyed: DataFrame, keys: list[str], stay: DataFrame) -> DataFrame:
+    """The rows whose keys are rows of stay (columns _a, _b), without the keys. Keys differ, so no task gets many of one; the same join at every size."""
+    held = stay.select("_a", "_b").hint("shuffle_hash")
+    return keyed.join(held, (keyed[keys[0]] == held["_a"]) & (keyed[keys[1]] == held["_b"]), "left_semi").drop(*keys)

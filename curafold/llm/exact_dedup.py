@@ -7,8 +7,7 @@ their group by both hashes (md5 and sha256), without their texts; Spark can spli
 
 Defined cases: a null text counts as empty. A null doc_id never wins over another id; a group of null
 ids only has keep_id null. Rows that repeat the smallest doc_id with the same text are the same document
-and all stay in this report (`deduplicate` leaves one; it decides on id and text, so rows with null or shared
-ids and different texts all stay). An empty table gives an empty table. Other
+and all stay in this report; `deduplicate` leaves exactly one row of each different text, whatever its ids. An empty table gives an empty table. Other
 columns aren't read here and are carried unchanged by `deduplicate`.
 """
 
@@ -19,28 +18,34 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, documents, having_rows, staged, text_of
+from .common import SPACES, documents, having_keys, staged, text_of, with_row_keys
 
 
 def normalised(text: str = "text") -> Column:
     return F.regexp_replace(text_of(text), f"[{SPACES}]+", " ")
 
 
-def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", content_hash: Callable[[Column], Column] = F.md5) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 of every row. content_hash: another hash, for tests."""
-    whole = docs.select(F.col(doc_id).alias("doc_id"), normalised(text).alias("norm")).withColumn("h", content_hash(F.col("norm")))
+def _found(docs: DataFrame, doc_id: str, text: str, content_hash: Callable[[Column], Column], keep: list[str]) -> DataFrame:
+    """doc_id, the columns to keep, both hashes, keep_id, group_size and kept of each row."""
+    whole = docs.select(F.col(doc_id).alias("doc_id"), *[F.col(k).alias(f"_{n}") for n, k in enumerate(keep)], normalised(text).alias("norm")).withColumn("h", content_hash(F.col("norm")))
     sha = F.sha2("norm", 256).alias("text_sha256")
     groups = whole.groupBy("h", "norm").agg(F.count("*").alias("group_size"), F.min("doc_id").alias("keep_id")).select("h", sha, "group_size", "keep_id")
-    rows = whole.select("doc_id", "h", sha)
+    rows = whole.select("doc_id", *[f"_{n}" for n in range(len(keep))], "h", sha)
     found = staged(rows, "hashes").join(staged(groups, "hash_groups"), ["h", "text_sha256"])
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    return found.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+
+
+def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", content_hash: Callable[[Column], Column] = F.md5) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 of every row. content_hash: another hash, for tests."""
+    return _found(docs, doc_id, text, content_hash, []).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns; of rows repeated in id and normalised text one."""
-    stay = staged(exact_dedup(docs, doc_id, text).filter("kept").select("doc_id", "text_sha256"), "stay")
-    return having_rows(docs, stay, F.sha2(normalised(text), 256), doc_id)
+    """One row of each group of equal texts, with all its columns: of those with the smallest doc_id any one."""
+    keyed, keys = with_row_keys(docs)
+    kept = _found(keyed, doc_id, text, F.md5, keys).filter("kept")
+    stay = kept.groupBy("h", "text_sha256").agg(F.min(F.struct(F.col("_0").alias("_a"), F.col("_1").alias("_b"))).alias("r")).select("r.*")
+    return having_keys(keyed, keys, staged(stay, "stay"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

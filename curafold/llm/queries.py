@@ -1,13 +1,6 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from . import byte_bpe, exact_dedup, lm_scoring, packing, pii, quality_classifier, quality_rules, sharding, simhash, token_store
-
-
-def pipeline(spark, sf_dir: str):
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
-
+from . import byte_bpe, exact_dedup, lm_scoring, packing, pii, pipeline, quality_classifier, quality_rules, sharding, simhash, token_store
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -20,6 +13,6 @@ QUERIES = {
     "op8_sharding": sharding.query,
     "op9_exact_dedup": exact_dedup.query,
     "op10_pii": pii.query,
-    "pipeline": pipeline,
+    "pipeline": pipeline.run,
 }
 SQL = {"op9_exact_dedup": exact_dedup.SQL}

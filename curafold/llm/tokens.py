@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes that a worker's cache of words may take; it is emptied when full, so its memory is bounded.
-CACHE_BYTES = 160 << 20
+CACHE_BYTES = 40 << 20
 #: What an entry of such a cache takes besides its own bytes, about.
 ENTRY = 140
 #: Entries of other caches of small values in a worker.
@@ -136,7 +136,7 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def columns(batch: pa.RecordBatch, text: int = 1, size: int = 4_000_000):
+def columns(batch: pa.RecordBatch, text: int = 1, size: int = 3_000_000):
     """Parts of a batch with about so many bytes of text, each as (start, column of texts)."""
     column = batch.column(text)
     if not len(column):
@@ -147,6 +147,7 @@ def columns(batch: pa.RecordBatch, text: int = 1, size: int = 4_000_000):
         stop = min(max(int(np.searchsorted(ends, before + size, side="left")) + 1, start + 1), len(column))
         yield start, column.slice(start, stop - start)
         start, before = stop, int(ends[stop - 1])
+    pa.default_memory_pool().release_unused()  # a worker that waits for its next task holds little
 
 
 def slices(batch: pa.RecordBatch, text: int = 1, size: int = 4_000_000):

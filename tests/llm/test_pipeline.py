@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from curafold.llm import quality_classifier, simhash
+from curafold.llm import quality_classifier
 from curafold.llm.common import documents
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, norm string, _row long, _stay long, _hash string, _spans string, all_spans string, _gone long"
@@ -27,23 +27,30 @@ def folder(spark, tmp_path_factory):
         text = " ".join(rng.choices(words, k=300))
         texts[i] = text + " vileword" * 3 if i % 4 == 0 else text + " mail some.one@mail.example now" if i % 10 == 1 else text
     texts |= {300: texts[1], 301: texts[2].replace(" ", "  ", 9), 302: texts[3] + " more", 303: None, 304: "", 305: " ".join(words * 3)}
-    rows = [(i, t, "en", None if i == 5 else "s", len(t or ""), "x", "y", 0, 1, "", "", "", 2) for i, t in [*texts.items(), (7, texts[7]), (None, "a text without an id")]]
+    rows = [(i, t, "en", None if i == 5 else "s", len(t or ""), "x", "y", 0, 1, "", "", "", 2) for i, t in [*texts.items(), (7, texts[7]), (7, "another text of document seven"), (None, "a text without an id"), (None, "a second text without an id"), (None, texts[6]), (None, None)]]
     path = str(tmp_path_factory.mktemp("tables"))
     spark.createDataFrame(rows, SCHEMA).repartition(4).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(160)] + [(None, 1, 0), (9, None, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     return path
 
 
+def shingles(t):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t).split(" ")
+    words = [w for w in words if w]
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
 def brute(rows):
     """(doc_id, redacted text) of what exact, near and private leave of rows (doc_id, text)."""
     groups = collections.defaultdict(list)
     for i, t in rows:
         groups[re.sub(r"[\x20\x09-\x0D]+", " ", t or "")].append((i is None, i or 0, t))
     rows = [(None if m[0] else m[1], m[2]) for m in map(lambda g: min(g, key=lambda m: m[:2]), groups.values())]
-    prints, group = [simhash.fingerprint(t or "") for _, t in rows], list(range(len(rows)))
+    group = list(range(len(rows)))
+    sets = [shingles(t or "") for _, t in rows]
     for a in range(len(rows)):
         for b in range(a):
-            if (prints[a] ^ prints[b]).bit_count() <= 3:
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
                 low, high = sorted((group[a], group[b]))
                 group = [low if g == high else g for g in group]
     first = {}
