@@ -4,47 +4,9 @@ run(spark, sf_dir) applies them to documents and returns the packed pieces. Each
 as Parquet in the shared folder and read again as the next one's input.
 """
 
-from __future__ import annotations
+from curafold.llm.pipeline import STAGES, exact, near, packed, private, quality, run
 
-from pyspark.sql import DataFrame, SparkSession
-
-from curafold.llm import exact_dedup, near_texts, packing, pii, quality_classifier
-from curafold.llm.common import documents, staged
-from curafold.llm.tokens import default_path
-
-
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier rejects go."""
-    return quality_classifier.keep_good(docs, documents(spark, sf_dir, "labels"))
-
-
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the smallest doc_id stays."""
-    return exact_dedup.deduplicate(docs)
-
-
-def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, by five-word shingles, the row with the smallest doc_id stays."""
-    return near_texts.deduplicate(docs)
-
-
-def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in texts is replaced by its kind."""
-    return pii.redact(docs)
-
-
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts become pieces of at most 2048 tokens with their places in sequences."""
-    return packing.pack(docs, default_path("word_bpe_49k.json"))
-
-
-STAGES = [("quality", quality), ("exact", exact), ("near", near), ("private", private), ("packed", packed)]
 #: SQL can't express the trained, hashed and packed stages; tests/llm holds them against brute force.
 ORACLE_SQL = None
 
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "exact", "near", "packed", "private", "quality", "run"]
