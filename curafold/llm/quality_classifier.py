@@ -62,7 +62,7 @@ def _slot(kind: str, value: str, view: int = 0) -> int:
 
 def _features(words: list[str]) -> np.ndarray:
     """The feature of each word: itself in lower case, without marks at its ends."""
-    if _held[0] > CACHE_BYTES // 2:
+    if _held[0] > CACHE_BYTES // 5:
         _words.clear()
         _held[0] = 0
     for w in words:

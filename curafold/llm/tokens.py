@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes that a worker's cache of words may take; it is emptied when full, so its memory is bounded.
-CACHE_BYTES = 40 << 20
+CACHE_BYTES = 96 << 20
 #: What an entry of such a cache takes besides its own bytes, about.
 ENTRY = 140
 #: Entries of other caches of small values in a worker.
