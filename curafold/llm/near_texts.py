@@ -1,15 +1,19 @@
 """Operator 5 where a similarity is asked for: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-A SimHash within some bits can't answer that: at a similarity of 0.8 two fingerprints differ in 9.7 of 64 bits on
-average, and with radius 3 one such pair in a hundred would be found. So here the shards are those of min-wise hashing.
-MinHash bands give the candidates: 20 bands of 5 minima, so that a pair of similarity 0.8 shares a band with
-probability 0.9996 (1 - (1 - 0.8^5)^20), one of 0.9 almost surely. Only candidates whose sets, compared
-exactly, reach 0.8 are linked. Equal sets are one node, named by 64 bits of their hash.
-
-A band's bucket of up to CHUNK nodes gives all its pairs. A larger one is first dealt into small chunks, which
-links a dense group with a few pairs a member and band; after that all its pairs are compared whose nodes are
-still in different components, so that no link between components is lost. Such pairs are many only
-where many candidates are not similar after all.
+The candidates come from SimHash, shards and BK-trees as in simhash.py, with radius and bands wide enough for 0.8.
+At that similarity two fingerprints differ in at most 15.1% of their bits on average (the angle between the sets), so
+64 bits and radius 3 would find one pair in a hundred. Here a fingerprint has PRINT + POOL words of 64 bits. A band
+is a draw of bits from the pool; their number a band grows with the table, so that a shard of unlike texts has some
+SHARD rows, and the number of bands is what leaves out a pair of similarity 0.8 with probability MISSED. A shard's
+BK-tree holds the PRINT words, where such a pair differs in 19.4 of 128 bits, unlike texts in 64; RADIUS is 36.
+Equal sets are one node, named by 64 bits of their hash.
+
+No pairs are listed. What steps within the radius connect in a shard is a cluster, and each member is a candidate for
+one centre, the member nearest to the bits most of them have. Each node is first compared, exactly, with the
+nearest of its centres. Then what candidates connect is a family; a family whose sets are not all linked by then is compared whole:
+each set outside its largest component against all others, by counting common shingles in an index of a few MB.
+That decides every pair within a family, so no link between candidates is lost. This last step's work is the number
+of sets outside the largest component times the family's size; its rows are the family's once for each index.
 
 Defined cases: words are those of simhash; a text of fewer than five words is one shingle, one without words has
 none, and all of these are equal. Of a component one row with the smallest doc_id stays, null ids last, whatever ids
@@ -18,16 +22,20 @@ repeat. An empty table gives an empty table; other columns are only carried.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORDS_BYTES, having_keys, staged, with_row_keys
-from .simhash import components
+from .simhash import BKTree, components
 from .tokens import slices
 
-SHINGLE, SIMILAR, BANDS, MINIMA, SEED, CHUNK, DEALT = 5, 0.8, 20, 5, 42, 16, 4
+SHINGLE, SIMILAR, SEED = 5, 0.8, 42
+PRINT, POOL, RADIUS, SHARD, MISSED = 2, 16, 36, 32, 2e-4
+LARGE, INDEX = 20_000, 4 << 20
 
 
 def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
@@ -45,22 +53,42 @@ def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
     return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts[: len(words) - size + 1], stops[size - 1 :], strict=True)], dtype=np.uint64))
 
 
-def _factors() -> tuple[np.ndarray, np.ndarray]:
-    draw = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * MINIMA, 1), dtype=np.uint64)
-    return draw[0] | np.uint64(1), draw[1]
+def _salts() -> np.ndarray:
+    return np.random.default_rng(SEED).integers(0, 1 << 64, PRINT + POOL, dtype=np.uint64)
 
 
-def band_keys(found: np.ndarray, factors: tuple[np.ndarray, np.ndarray]) -> list[int]:
-    """One signed key a band, over MINIMA minima of the shingles each; none for no shingles."""
-    import xxhash
+def fingerprint(found: np.ndarray, salts: np.ndarray) -> bytes:
+    """SimHash of PRINT + POOL words over a set's shingle hashes, mixed anew for each word: a bit is 1 if set in over half."""
+    ones = np.zeros(64 * len(salts), dtype=np.int64)
+    for k in range(0, len(found), 255):
+        mixed = found[k : k + 255, None] ^ salts
+        mixed ^= mixed >> np.uint64(31)
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(0xC2B2AE3D27D4EB4F)
+        mixed ^= mixed >> np.uint64(32)
+        ones += np.add.reduce(np.unpackbits(mixed.view(np.uint8), axis=1), axis=0, dtype=np.uint8)  # 255 at most
+    return np.packbits(2 * ones > len(found)).tobytes()
+
+
+def bands(rows: int) -> tuple[int, int]:
+    """Bits of a band and number of bands for a table of so many different sets."""
+    agree = 1 - math.acos(2 * SIMILAR / (1 + SIMILAR)) / math.pi
+    bits = min(max(8, math.ceil(math.log2(max(rows, 1) / SHARD))), 32)
+    return bits, math.ceil(math.log(MISSED) / math.log(1 - agree**bits))
+
 
-    if not len(found):
-        return []
-    least = np.full(BANDS * MINIMA, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for k in range(0, len(found), 1024):
-        np.minimum(least, (factors[0] * found[k : k + 1024] + factors[1]).min(axis=1), out=least)
-    step, raw = 8 * MINIMA, least.tobytes()
-    return np.array([xxhash.xxh64_intdigest(raw[step * b : step * (b + 1)], b) for b in range(BANDS)], dtype=np.uint64).view(np.int64).tolist()
+def band_keys(prints: np.ndarray, bits: int, number: int) -> np.ndarray:
+    """One signed key for each fingerprint (row of bytes) and band."""
+    draw = np.random.default_rng(SEED)
+    chosen = np.concatenate([draw.permutation(64 * POOL) for _ in range(-(-bits * number // (64 * POOL)))])[: bits * number]
+    places = np.full((number, 32), 64 * POOL)  # a place after the pool, where all bits are 0
+    places[:, :bits] = chosen.reshape(number, bits)
+    keys = np.empty((len(prints), number), dtype=np.int64)
+    for k in range(0, len(prints), 256):
+        pool = np.pad(np.unpackbits(prints[k : k + 256, 8 * PRINT :], axis=1), ((0, 0), (0, 1)))
+        keys[k : k + 256] = np.packbits(pool[:, places], axis=2).view("<u4")[:, :, 0]
+    return keys + (np.arange(number, dtype=np.int64) << 32)
 
 
 def similar(a: bytes, b: bytes, least: float = SIMILAR) -> bool:
@@ -73,32 +101,128 @@ def similar(a: bytes, b: bytes, least: float = SIMILAR) -> bool:
 
 
 def marked(docs: DataFrame, keys: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, keys (_a, _b), node, keys of its bands and shingles of each row."""
+    """doc_id, keys (_a, _b), node, fingerprint and shingles of each row."""
 
     def run(batches):
         import xxhash
 
-        factors = _factors()
+        salts = _salts()
         for batch in batches:
             for at, texts in slices(batch):
                 sets = [shingles(t) for t in texts]
                 node = np.array([xxhash.xxh3_64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64)
-                bands = pa.array([band_keys(s, factors) for s in sets], pa.list_(pa.int64()))
+                prints = pa.array([fingerprint(s, salts) for s in sets], pa.binary())
                 # sets are compared by 32 bits of their shingles' hashes, which halves what is sent
                 short = pa.array([np.unique((s >> np.uint64(32)).astype("<u4")).tobytes() for s in sets], pa.binary())
                 own = [batch.column(k).slice(at, len(texts)) for k in (0, 2, 3)]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(node), bands, short], ["doc_id", "_a", "_b", "node", "keys", "shingles"])
+                yield pa.RecordBatch.from_arrays([*own, pa.array(node), prints, short], ["doc_id", "_a", "_b", "node", "print", "shingles"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(keys[0]).alias("_a"), F.col(keys[1]).alias("_b"))
-    return rows.mapInArrow(run, "doc_id long, _a long, _b long, node long, keys array<long>, shingles binary")
+    return rows.mapInArrow(run, "doc_id long, _a long, _b long, node long, print binary, shingles binary")
 
 
-def _dealt(members: DataFrame) -> DataFrame:
-    """Pairs a < b of each bucket's chunks; a bucket of up to CHUNK rows is one chunk."""
-    chunks = F.when(F.col("n") > CHUNK, F.ceil(F.col("n") / DEALT)).otherwise(1)
-    groups = members.groupBy("v", F.pmod(F.xxhash64("node", "v"), chunks).alias("c")).agg(F.sort_array(F.collect_set("node")).alias("s")).filter("size(s) > 1")
-    first = groups.select("s", F.posexplode("s").alias("i", "a"))
-    return first.select("a", F.explode(F.slice("s", F.col("i") + 2, F.size("s"))).alias("b"))
+def _sharded(bits: int, number: int):
+    """Rows (node, print) to rows (key, high, low, node), one for each band, with the words that the trees hold."""
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            prints = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            words = prints[:, : 8 * PRINT].copy().view(np.int64)
+            columns = [band_keys(prints, bits, number).ravel(), *(np.repeat(x, number) for x in (words[:, 0], words[:, 1], batch.column(0).to_numpy()))]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "high", "low", "node"])
+
+    return run
+
+
+class Flat:
+    """What BKTree does, for shards so large that a tree's memory would tell: all living values are looked at."""
+
+    def __init__(self, items):
+        raw = b"".join(x.to_bytes(16, "little") for x in items)
+        self.words, self.alive = np.frombuffer(raw, np.uint64).reshape(-1, 2), np.ones(len(items), dtype=bool)
+        self.left = np.arange(len(items))
+
+    def remove(self, at: int) -> None:
+        self.alive[at] = False
+
+    def take(self, x: int, radius: int) -> list[int]:
+        one = np.frombuffer(x.to_bytes(16, "little"), np.uint64)
+        if 2 * np.count_nonzero(self.alive[self.left]) < len(self.left):
+            self.left = self.left[self.alive[self.left]]
+        near = np.bitwise_count(self.words[self.left] ^ one).sum(axis=1, dtype=np.int64) <= radius
+        found = self.left[near & self.alive[self.left]]
+        self.alive[found] = False
+        return found.tolist()
+
+
+def clusters(values: list[int], radius: int = RADIUS, large: int = LARGE) -> list[list[int]]:
+    """Places of different values, as lists of those that steps within the radius connect."""
+    tree, found = (Flat if len(values) > large else BKTree)(values), []
+    for first in range(len(values)):
+        if tree.alive[first]:
+            tree.remove(first)
+            group = [first]
+            for at in group:  # grows meanwhile
+                group += tree.take(values[at], radius)
+            found.append(group)
+    return found
+
+
+def _candidates(words: np.ndarray, node: np.ndarray, radius: int = RADIUS):
+    """node, centre and their distance for each member of a shard's clusters but the centre; rows are sorted by words."""
+    change = np.flatnonzero((words[1:] != words[:-1]).any(axis=1)) + 1
+    starts = np.concatenate([[0], change, [len(words)]])
+    high, low = (words[starts[:-1], k].tolist() for k in range(2))
+    for group in clusters([h << 64 | x for h, x in zip(high, low, strict=True)], radius):
+        if len(group) == 1 and starts[group[0] + 1] - starts[group[0]] == 1:
+            continue
+        rows = np.concatenate([np.arange(starts[g], starts[g + 1]) for g in group])
+        own = words[rows]
+        ones = sum(np.unpackbits(own[k : k + 4096].view(np.uint8), axis=1).sum(axis=0, dtype=np.int64) for k in range(0, len(own), 4096))
+        most = np.packbits(2 * ones > len(own)).view(np.uint64)
+        apart = lambda x: np.bitwise_count(own ^ x).sum(axis=1, dtype=np.int64)
+        centre = int(np.argmin(apart(most)))
+        others = np.arange(len(rows)) != centre
+        yield node[rows][others], np.full(len(rows) - 1, node[rows[centre]]), apart(own[centre])[others]
+
+
+def _search(batches):
+    """Streams rows (key, high, low, node) sorted by them and gives candidates (node, centre, distance) of each shard."""
+    held: list[list[np.ndarray]] = []
+    found: list[tuple[np.ndarray, ...]] = []
+
+    def out():
+        batch = pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], ["node", "centre", "distance"])
+        found.clear()
+        return batch
+
+    def searched(rows, cuts):
+        words = np.stack([rows[1].view(np.uint64), rows[2].view(np.uint64)], axis=1)
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if b - a > 1:
+                found.extend(_candidates(words[a:b], rows[3][a:b]))
+
+    joined = lambda: [np.concatenate(x) for x in zip(*held, strict=True)]
+    for batch in batches:
+        rows = [batch.column(k).to_numpy() for k in range(4)]
+        if not len(rows[0]):
+            continue
+        held.append(rows)
+        if held[0][0][0] == rows[0][-1]:  # the shard goes on
+            continue
+        rows = joined()
+        cuts = [0, *(np.flatnonzero(np.diff(rows[0])) + 1).tolist()]
+        searched(rows, cuts)
+        held = [[x[cuts[-1] :] for x in rows]]
+        if len(found) > 5000:
+            yield out()
+    if held:
+        rows = joined()
+        searched(rows, [0, len(rows[0])])
+    if found:
+        yield out()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -111,30 +235,91 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([a.filter(good), b.filter(good)], ["a", "b"])
 
     of = lambda side, name: sets.select(F.col("node").alias(side), F.col("shingles").alias(name)).hint("shuffle_hash")
-    return pairs.distinct().join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
-
-
-def _links(rows: DataFrame) -> DataFrame:
+    return pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+class Index:
+    """Sets of shingles by shingle: which of them are similar to a set, by counting what is common."""
+
+    def __init__(self, sets: list[bytes]):
+        parts = [np.frombuffer(s, "<u4") for s in sets]
+        self.sizes = np.array([len(p) for p in parts])
+        every, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), self.sizes)
+        order = np.argsort(every, kind="stable")
+        self.every, self.owner = every[order], owner[order]
+
+    def similar(self, one: bytes, least: float = SIMILAR) -> list[int]:
+        y = np.frombuffer(one, "<u4")
+        low, high = (np.searchsorted(self.every, y, side) for side in ("left", "right"))
+        many = high - low
+        at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+        both = np.bincount(self.owner[at], minlength=len(self.sizes))
+        return np.flatnonzero(both >= least * (self.sizes + len(y) - both)).tolist()
+
+
+def _across(batches):
+    """Streams rows (family, part, asked, node, root, shingles), the asked ones first, and gives links between different roots."""
+    at, asked, index, up = None, [], None, {}
+
+    def top(x):
+        while x in up:
+            x = up[x]
+        return x
+
+    for batch in batches:
+        links = []
+        for family, part, ask, node, root, own in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+            if (family, part) != at:
+                at, asked, index, up = (family, part), [], None, {}
+            if ask:
+                asked.append((node, root, own))
+                continue
+            index = index or Index([s for _, _, s in asked])
+            for k in index.similar(own):
+                a, b = top(asked[k][1]), top(root)
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+                    links.append((node, asked[k][0]))
+        if links:
+            a, b = zip(*links, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _candidate_links(rows: DataFrame) -> DataFrame:
+    """node, centre, distance: links that connect all candidates among the rows of marked()."""
+    prints = staged(rows.filter("length(shingles) > 0").select("node", "print").dropDuplicates(["node"]), "prints")
+    shards = prints.mapInArrow(_sharded(*bands(prints.count())), "key long, high long, low long, node long")
+    return shards.repartition("key").sortWithinPartitions("key", "high", "low", "node").mapInArrow(_search, "node long, centre long, distance long")
+
+
+def _links(rows: DataFrame, index: int = INDEX) -> DataFrame:
     """node, root of the components of all similar candidates among the rows of marked()."""
-    buckets = rows.select("node", F.explode("keys").alias("v")).distinct()
-    shared = buckets.groupBy("v").agg(F.count("*").alias("n")).filter("n > 1").hint("shuffle_hash")
-    members = staged(buckets.join(shared, "v").select("v", "node", "n"), "band_members")
-    nodes = members.select("node").distinct().hint("shuffle_hash")
-    sets = staged(rows.select("node", "shingles").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "shingle_sets")
-    links = staged(_verified(_dealt(members), sets), "similar")
+    near = staged(_candidate_links(rows), "candidates")
+    families = components(near.select(F.col("node").alias("a"), F.col("centre").alias("b")))
+    families = families.union(families.select("root", "root").distinct())  # a root is no node of its own
+    own = rows.select("node", "shingles").join(families.select("node").hint("shuffle_hash"), "node", "left_semi")
+    sets = staged(own.dropDuplicates(["node"]), "shingle_sets")
+    nearest = near.groupBy("node").agg(F.min(F.struct("distance", "centre")).alias("c")).select(F.col("node").alias("a"), F.col("c.centre").alias("b"))
+    links = staged(_verified(nearest, sets), "similar")
     roots = components(links)
-    large = members.filter(F.col("n") > CHUNK)
-    if large.isEmpty():
+
+    sizes = sets.select("node", F.length("shingles").cast("long").alias("size")).hint("shuffle_hash")
+    rooted = families.select("node", F.col("root").alias("family")).join(roots.hint("shuffle_hash"), "node", "left").select("family", "node", F.coalesce("root", "node").alias("root"))
+    placed = staged(rooted.join(sizes, "node").select("family", "node", "root", "size"), "families")
+    parts = placed.groupBy("family", "root").agg(F.count("*").alias("n")).groupBy("family").agg(F.count("*").alias("roots"), F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most"))
+    apart = staged(parts.filter("roots > 1 and n > 2").select("family", F.col("most.root").alias("largest")), "apart")  # two were compared
+    if apart.isEmpty():
         return roots
 
-    rooted = large.join(roots.hint("shuffle_hash"), "node", "left").select("v", "node", F.coalesce("root", "node").alias("root"))
-    apart = rooted.groupBy("v").agg(F.min("root").alias("m"), F.max("root").alias("o")).filter("m <> o").select("v").hint("shuffle_hash")
-    sizes = sets.select("node", F.length("shingles").alias("size")).hint("shuffle_hash")
-    sized = staged(rooted.join(apart, "v", "left_semi").join(sizes, "node"), "apart")
-    side = lambda p: sized.select("v", *[F.col(c).alias(p + c) for c in ("node", "root", "size")])
-    fits = (F.col("asize") >= F.col("bsize") * SIMILAR) & (F.col("bsize") >= F.col("asize") * SIMILAR)
-    pairs = side("a").join(side("b"), "v").filter((F.col("aroot") != F.col("broot")) & (F.col("anode") < F.col("bnode")) & fits)
-    return components(links.union(_verified(pairs.select(F.col("anode").alias("a"), F.col("bnode").alias("b")), sets)))
+    asked = F.col("root") != F.col("largest")
+    before = F.sum(F.when(asked, F.col("size")).otherwise(0)).over(Window.partitionBy("family").orderBy("node").rowsBetween(Window.unboundedPreceding, -1))
+    dealt = placed.join(apart.hint("shuffle_hash"), "family").withColumn("part", F.floor(F.coalesce(before, F.lit(0)) / index)).withColumn("asked", asked)
+    dealt = staged(dealt.join(sets.select("node", "shingles").hint("shuffle_hash"), "node").select("family", "part", "asked", "node", "root", "shingles"), "open")
+    indexes = dealt.filter("asked").select("family", "part").distinct().hint("shuffle_hash")
+    every = dealt.drop("part", "asked").join(indexes, "family").select("family", "part", F.lit(False).alias("asked"), "node", "root", "shingles")
+    order = ["family", "part", F.col("asked").desc(), "node"]
+    more = dealt.filter("asked").union(every).repartition("family", "part").sortWithinPartitions(*order).mapInArrow(_across, "a long, b long")
+    return components(links.union(more))
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

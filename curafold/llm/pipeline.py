@@ -24,7 +24,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, similarity 0.8 or more) one row with the smallest doc_id stays; texts without words are alike."""
+    """Of each group of near duplicates (SimHash candidates over five-word shingles, exact similarity 0.8 or more) one row with the smallest doc_id stays; texts without words are alike."""
     return near_texts.deduplicate(docs)
 
 
