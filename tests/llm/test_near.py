@@ -1,8 +1,9 @@
-"""The near stage: SimHash candidates at a similarity of 0.8."""
+"""The near stage: SimHash candidates at a similarity of 0.8, and the work for one large group."""
 
 import random
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from curafold.llm import near_texts
@@ -13,6 +14,35 @@ def sets(t):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
+def texts_of_a_group(rng, copies):
+    """A text and copies that are mostly near it, few near one another."""
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    base = [word() for _ in range(150)]
+    texts = [" ".join(base)]
+    for k in range(copies):
+        copy = list(base)
+        for at in rng.sample(range(5, 145, 6), rng.choice([2, 3, 3, 4])):
+            copy[at] = word()
+        texts.append(" ".join(copy) + f" {k}")
+    return texts
+
+
+def components(texts):
+    found, group = [sets(t) for t in texts], list(range(len(texts)))
+
+    def top(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for a in range(len(found)):
+        for b in range(a):
+            if len(found[a] & found[b]) >= 0.8 * len(found[a] | found[b]):
+                low, high = sorted((top(a), top(b)))
+                group[high] = low
+    return {top(a) for a in range(len(texts))}
+
+
 def test_fingerprints_and_bands_catch_the_similarity():
     rng, salts = np.random.default_rng(5), near_texts._salts()
     apart = []
@@ -56,3 +86,20 @@ def test_near_finds_pairs_just_above_the_similarity(spark):
     assert all(0.8 <= len(sets(a) & sets(b)) / len(sets(a) | sets(b)) < 0.83 for a, b in zip(texts[::2], texts[1::2], strict=True))
     found = corpus_pipeline.near(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), "").collect()
     assert sorted(r.doc_id for r in found) == list(range(0, 600, 2))
+
+
+@pytest.mark.parametrize("index", [4 << 20, 5000])
+def test_work_for_a_large_group_is_linear(spark, monkeypatch, index):
+    texts = texts_of_a_group(random.Random(9), 500)
+    compared, verified, links = [], near_texts._verified, near_texts._links
+
+    def counted(pairs, of):
+        compared.append(pairs.count())
+        return verified(pairs, of)
+
+    monkeypatch.setattr(near_texts, "_verified", counted)
+    if index < 1 << 20:
+        monkeypatch.setattr(near_texts, "_links", lambda rows: links(rows, index))
+    found = corpus_pipeline.near(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), "").collect()
+    assert sorted(r.doc_id for r in found) == sorted(components(texts))
+    assert sum(compared) <= len(texts)
