@@ -5,7 +5,8 @@ At that similarity two fingerprints differ in at most 15.1% of their bits on ave
 64 bits and radius 3 would find one pair in a hundred. Here a fingerprint has PRINT + POOL words of 64 bits. A band
 is a draw of bits from the pool; their number a band grows with the table, so that a shard of unlike texts has some
 SHARD rows, and the number of bands is what leaves out a pair of similarity 0.8 with probability MISSED. A shard's
-BK-tree holds the PRINT words, where such a pair differs in 19.4 of 128 bits, unlike texts in 64; RADIUS is 36.
+BK-tree holds the PRINT words, where such a pair differs in 19.4 of 128 bits, unlike texts in 64; RADIUS is 36. Only for
+four of five shingles the average is higher, 24 bits, as four can tie; such pairs also meet by what four they share.
 Equal sets are one node, named by 64 bits of their hash.
 
 No pairs are listed. What steps within the radius connect in a shard is a cluster, and each member is a candidate for
@@ -121,8 +122,18 @@ def marked(docs: DataFrame, keys: list[str], doc_id: str = "doc_id", text: str =
     return rows.mapInArrow(run, "doc_id long, _a long, _b long, node long, print binary, shingles binary")
 
 
+def small_keys(own: bytes) -> list[int]:
+    """Negative keys of a set of four or five shingles: one for each four of them. Sets of 4 and 5 that reach 0.8 share one."""
+    import xxhash
+
+    four = [own] if len(own) == 16 else [own[:k] + own[k + 4 :] for k in range(0, 20, 4)]
+    return [-1 - (xxhash.xxh64_intdigest(x, SEED) >> 1) for x in four]
+
+
 def _sharded(bits: int, number: int):
-    """Rows (node, print) to rows (key, high, low, node), one for each band, with the words that the trees hold."""
+    """Rows (node, print, small) to rows (key, high, low, node), one for each band, with the words that the trees hold.
+
+    Sets of four and five shingles (small) also share shards where all words are 0, so that they are candidates whatever their bits."""
 
     def run(batches):
         for batch in batches:
@@ -131,7 +142,9 @@ def _sharded(bits: int, number: int):
             prints = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
             words = prints[:, : 8 * PRINT].copy().view(np.int64)
             columns = [band_keys(prints, bits, number).ravel(), *(np.repeat(x, number) for x in (words[:, 0], words[:, 1], batch.column(0).to_numpy()))]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "high", "low", "node"])
+            few = [(key, 0, 0, node) for node, own in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True) if own for key in small_keys(own)]
+            more = np.array(few, dtype=np.int64).reshape(-1, 4).T
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x, y])) for x, y in zip(columns, more, strict=True)], ["key", "high", "low", "node"])
 
     return run
 
@@ -287,7 +300,8 @@ def _across(batches):
 
 def _candidate_links(rows: DataFrame) -> DataFrame:
     """node, centre, distance: links that connect all candidates among the rows of marked()."""
-    prints = staged(rows.filter("length(shingles) > 0").select("node", "print").dropDuplicates(["node"]), "prints")
+    small = F.when(F.length("shingles").isin(16, 20), F.col("shingles")).alias("small")
+    prints = staged(rows.filter("length(shingles) > 0").select("node", "print", small).dropDuplicates(["node"]), "prints")
     shards = prints.mapInArrow(_sharded(*bands(prints.count())), "key long, high long, low long, node long")
     return shards.repartition("key").sortWithinPartitions("key", "high", "low", "node").mapInArrow(_search, "node long, centre long, distance long")
 

@@ -88,6 +88,16 @@ def test_near_finds_pairs_just_above_the_similarity(spark):
     assert sorted(r.doc_id for r in found) == list(range(0, 600, 2))
 
 
+def test_near_finds_four_of_five_shingles(spark):
+    rng = random.Random(10)
+    texts = []
+    for _ in range(2000):
+        words = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(9)]
+        texts += [" ".join(words), " ".join(words[:8] if rng.random() < 0.5 else words[1:])]
+    found = corpus_pipeline.near(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), "").collect()
+    assert sorted(r.doc_id for r in found) == list(range(0, 4000, 2))
+
+
 @pytest.mark.parametrize("index", [4 << 20, 5000])
 def test_work_for_a_large_group_is_linear(spark, monkeypatch, index):
     texts = texts_of_a_group(random.Random(9), 500)
