@@ -22,6 +22,7 @@ repeated doc_ids keep their rows; an empty table gives an empty table; columns o
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 
@@ -50,6 +51,17 @@ _KIND[0xC0:] |= 32 | 2
 for _chars, _bit in (("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 1 | 2), ("abcdefghijklmnopqrstuvwxyz", 2), (" \n", 4), ("#*$%&|<>", 8), ("!?", 16)):
     for _c in _chars:
         _KIND[ord(_c)] |= _bit
+#: What is no part of a word's feature at its ends.
+_ENDS = ".,;:!?\"'()|#$%&*"
+#: Bytes of longer words are not worked on column-wise.
+_LONG = 40
+#: Bytes of characters that Arrow's lower case may leave otherwise than Python's; beside them only the letters of _CASED.
+_ODD = np.isin(np.arange(256), [0xE1, 0xEA, *range(0xF0, 0x100)])
+_CASED = ("\u0130", "\u03a3")
+_SECOND = 0x5BD1E995
+#: The checksum's step by byte, and what the second checksum of a word of each length adds to the first.
+_STEP = np.array([zlib.crc32(bytes([k]), 0xFFFFFFFF) ^ 0xFFFFFFFF for k in range(256)], np.uint32)
+_SHIFT = np.array([zlib.crc32(b"word\0" + bytes(k), _SECOND) ^ zlib.crc32(b"word\0" + bytes(k)) for k in range(_LONG + 1)], np.uint64)
 _words: dict[str, int] = {}
 _held = [0]
 
@@ -57,36 +69,66 @@ _held = [0]
 def _slot(kind: str, value: str, view: int = 0) -> int:
     """A 62-bit name of a feature; its last bit is its view."""
     raw = f"{kind}\0{value}".encode("utf-8", "surrogatepass")
-    return ((zlib.crc32(raw) << 30 | zlib.crc32(raw, 0x5BD1E995) >> 2) << 1) | view
+    return ((zlib.crc32(raw) << 30 | zlib.crc32(raw, _SECOND) >> 2) << 1) | view
 
 
-def _features(words: list[str]) -> np.ndarray:
-    """The feature of each word: itself in lower case, without marks at its ends."""
+def _one_by_one(words: list[str]) -> np.ndarray:
     if _held[0] > CACHE_BYTES // 5:
         _words.clear()
         _held[0] = 0
     for w in words:
         if w not in _words:
-            _words[w] = _slot("word", w.lower().strip(".,;:!?\"'()|#$%&*"))
+            _words[w] = _slot("word", w.lower().strip(_ENDS))
             _held[0] += len(w) + ENTRY
     return np.fromiter(map(_words.__getitem__, words), np.int64, len(words))
 
 
-def _steps(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
-    return np.ceil(20 * part / np.maximum(whole, 1)).astype(np.int64)
+def _raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the texts one after another, and where each text's bytes begin and end."""
+    ends = np.frombuffer(texts.buffers()[1], "<i4", len(texts) + 1, 4 * texts.offset).astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    size = int(ends[-1] - ends[0])
+    return np.frombuffer(texts.buffers()[2], np.uint8, size, int(ends[0])) if size else np.zeros(0, np.uint8), ends - ends[0]
+
+
+def word_features(words: pa.Array) -> np.ndarray:
+    """The feature of each word: itself in lower case, without marks at its ends. The checksums that name
+    them take a step for one byte of all words at once; long words and those with odd characters go one by one."""
+    raw, ends = _raw(words)
+    odd = np.zeros(len(words), bool)
+    odd[np.searchsorted(ends, np.flatnonzero(_ODD[raw]), side="right") - 1] = True
+    for letter in _CASED:
+        odd |= pc.match_substring(words, letter).to_numpy(zero_copy_only=False)
+    raw, ends = _raw(pc.ascii_trim(pc.utf8_lower(words), _ENDS))
+    lengths = np.diff(ends)
+    odd |= lengths > _LONG
+    lengths[odd] = 0
+    order = np.argsort(-lengths.astype(np.int8), kind="stable")  # the longest first
+    starts = ends[:-1][order]
+    state = np.full(len(words), zlib.crc32(b"word\0") ^ 0xFFFFFFFF, np.uint32)
+    longer = len(words) - np.cumsum(np.bincount(lengths, minlength=1))
+    for place, n in enumerate(longer[:-1].tolist()):
+        state[:n] = _STEP[(state[:n] ^ raw[starts[:n] + place]) & 0xFF] ^ (state[:n] >> 8)
+    first = np.empty(len(words), np.uint64)
+    first[order] = ~state
+    slots = ((first << 30 | (first ^ _SHIFT[lengths]) >> 2) << 1).astype(np.int64)
+    if odd.any():
+        slots[odd] = _one_by_one(words.filter(pa.array(odd)).to_pylist())
+    return slots
 
 
-def _per_text(marks: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(marks, dtype=np.int64)])
-    return total[bounds[1:]] - total[bounds[:-1]]
+def _steps(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    return np.ceil(20 * part / np.maximum(whole, 1)).astype(np.int64)
 
 
 def _layout(texts: pa.Array, n_words: np.ndarray, n_different: np.ndarray) -> np.ndarray:
     """Features of each text from shares in steps of a twentieth: capitals, other characters, marks, shouts, different words, lines."""
-    raw = texts.buffers()[2]
-    ends = np.frombuffer(texts.buffers()[1], "<i4", len(texts) + 1, 4 * texts.offset).astype(np.int64)
-    kinds = _KIND[np.frombuffer(raw, np.uint8, int(ends[-1] - ends[0]), int(ends[0]))] if raw is not None and len(ends) and ends[-1] > ends[0] else np.zeros(0, np.uint8)
-    count = lambda bit: _per_text((kinds & bit) > 0, ends - ends[0])
+    raw, ends = _raw(texts)
+    kinds, cuts = _KIND[raw], list(itertools.pairwise(ends.tolist()))
+
+    def count(bit: int) -> np.ndarray:
+        marks = (kinds & bit) > 0
+        return np.array([np.count_nonzero(marks[a:b]) for a, b in cuts], np.int64)
+
     n, lines = count(32), pc.split_pattern(texts, "\n")
     offsets = lines.offsets.to_numpy().astype(np.int64)
     n_lines = np.diff(offsets)
@@ -109,22 +151,33 @@ def _layout(texts: pa.Array, n_words: np.ndarray, n_different: np.ndarray) -> np
     return np.stack(found, axis=1)
 
 
+def _pairs(docs: np.ndarray, codes: np.ndarray, n_docs: int, n_codes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair of a text and a code once, in order; numbers of 32 bits are sorted faster."""
+    kind = np.uint32 if n_docs * n_codes < 1 << 32 else np.int64
+    keys = np.sort(docs.astype(kind) * kind(n_codes) + codes.astype(kind))
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    keys = keys[first]
+    found = keys // kind(n_codes)
+    return found.astype(np.int64), (keys - found * kind(n_codes)).astype(np.int64)
+
+
 def content_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Number of the text and feature, each pair once, by text."""
     texts = pc.fill_null(texts, "")
     words, bounds = words_of(texts)
     coded = words.dictionary_encode()
-    kinds = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    of = np.repeat(np.arange(len(texts)), np.diff(bounds))
-    empty = kinds.index("") if "" in kinds else -1
-    real = codes != empty
-    pairs = np.unique(of[real] * max(len(kinds), 1) + codes[real])
-    doc, word = pairs // max(len(kinds), 1), pairs % max(len(kinds), 1)
-    slots = _features(kinds)[word]
-    layout = _layout(texts, np.bincount(of[real], minlength=len(texts)), np.bincount(doc, minlength=len(texts)))
+    kinds, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+    of = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(bounds))
+    empty = pc.index(kinds, "").as_py()
+    if empty >= 0:
+        of, codes = of[codes != empty], codes[codes != empty]
+    doc, word = _pairs(of, codes, len(texts), max(len(kinds), 1))
+    layout = _layout(texts, np.bincount(of, minlength=len(texts)), np.bincount(doc, minlength=len(texts)))
+    slots, at = np.unique(np.concatenate([word_features(kinds), layout.ravel()]), return_inverse=True)  # words may share a feature
     docs = np.concatenate([doc, np.repeat(np.arange(len(texts)), layout.shape[1])])
-    return _once(docs, np.concatenate([slots, layout.ravel()]))
+    docs, places = _pairs(docs, np.concatenate([at[word], at[len(kinds) :]]), len(texts), max(len(slots), 1))
+    return docs, slots[places]
 
 
 def metadata_features(values: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
