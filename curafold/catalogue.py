@@ -245,8 +245,8 @@ def mean_of_means(t):
  CASE WHEN avg(power(l_quantity - l_linenumber * 7, 2)) = 0 THEN 'Infinity'::double ELSE round(10 * log10(65025.0 / avg(power(l_quantity - l_linenumber * 7, 2))), 6) END AS psnr FROM lineitem GROUP BY l_orderkey""")
 def psnr_rows(t):
     a, b = F.col("l_quantity"), F.col("l_linenumber") * 7
-    mse = F.avg((a - b) ** 2)
-    return t.lineitem.groupBy("l_orderkey").agg(_r(mse, "mse"), _r(F.avg(F.abs(a - b)), "l1"), _r(F.avg(E.charbonnier(a, b)), "charbonnier"), _r(E.psnr(mse), "psnr"))
+    mse = E.mean((a - b) ** 2)
+    return t.lineitem.groupBy("l_orderkey").agg(_r(mse, "mse"), _r(E.mean(F.abs(a - b)), "l1"), _r(E.mean(E.charbonnier(a, b)), "charbonnier"), _r(E.psnr(mse), "psnr"))
 
 
 @query("""WITH d AS (SELECT l_partkey, row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS draw FROM lineitem),
