@@ -288,9 +288,8 @@ def patch_grid(t):
  SELECT p_partkey, scale, x, y, round(score, 6) AS score FROM g QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, scale DESC, y, x) = 1""")
 def crop_candidates(t):
     s = t.part.select("p_partkey", (100 + F.col("p_size")).alias("w"), (100 + F.col("p_partkey") % 50).alias("h"))
-    crops = G.crop_grid(s, 80, 60, [1.5, 1.0], 8)
-    score = X.thirds((F.col("x") + F.col("cw") / 2) / F.col("w")) + F.col("scale")
-    return G.best_crop(crops, ["p_partkey"], score).select("p_partkey", "scale", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), _r("score", "score"))
+    score = lambda x, y, cw, ch, scale: X.thirds((x + cw / 2) / F.col("w")) + scale
+    return G.best_crop(s, ["p_partkey"], 80, 60, [1.5, 1.0], 8, score).select("p_partkey", "scale", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), _r("score", "score"))
 
 
 @query(f"WITH {_BOX} SELECT image, list_transform(list_sort(list({{'x': (x1 + x2) / 2, 'y': (y1 + y2) / 2, 'b': [x1, y1, x2, y2]}})), lambda k: k.b) AS boxes FROM b GROUP BY image")

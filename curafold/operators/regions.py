@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,19 +36,23 @@ def patches(images: DataFrame, size: int = 512, overlap: int = 96, least: int =
     return rows.withColumns({"pw": F.when(large, size).otherwise(F.col("w")), "ph": F.when(large, size).otherwise(F.col("h"))})
 
 
-def crop_grid(images: DataFrame, width: float, height: float, scales: list[float], step: int) -> DataFrame:
-    """images (w, h and keys) with each window of the given sides, at each scale and step, that lies inside; `turn` is its place in the enumeration."""
-    sized = images.withColumn("scale", F.explode(F.array(*map(F.lit, scales))))
-    cut = sized.withColumns({"cw": F.col("scale") * width, "ch": F.col("scale") * height}).filter("cw <= w AND ch <= h")
-    along = lambda side, own: F.sequence(F.lit(0), F.floor(F.col(side) - F.col(own)).cast("int"), F.lit(step))
-    rows = cut.withColumn("y", F.explode(along("h", "ch"))).withColumn("x", F.explode(along("w", "cw")))
-    return rows.withColumn("turn", F.struct((-F.col("scale")).alias("s"), "y", "x"))
+def best_crop(images: DataFrame, keys: list[str], width: float, height: float, scales: list[float], step: int, score: Callable[..., Column]) -> DataFrame:
+    """keys, scale, x, y and score of the first best window of each image (w, h and keys), of those of the given sides, at each scale and step, that lie inside.
+
+    score is a function of a window's x, y, cw, ch and scale. A row's windows are compared in the row: what is dealt and
+    sorted is one window a row, not the grid. The first comes from the largest scale, then from the least y, then x."""
 
+    def best(scale: float) -> Column:
+        cw, ch = scale * width, scale * height
+        along = lambda side, own: F.sequence(F.lit(0), F.greatest(F.floor(F.col(side) - own).cast("int"), F.lit(0)), F.lit(step))
+        window = lambda x, y: F.struct((-score(x, y, F.lit(cw), F.lit(ch), F.lit(scale))).alias("s"), F.lit(-scale).alias("scale"), y.alias("y"), x.alias("x"))
+        found = F.array_min(F.transform(along("h", ch), lambda y: F.array_min(F.transform(along("w", cw), lambda x: window(x, y)))))
+        return F.when((F.col("w") >= cw) & (F.col("h") >= ch), found)
 
-def best_crop(crops: DataFrame, keys: list[str], score: Column) -> DataFrame:
-    """keys, scale, x, y and score of the first best window of each image."""
-    best = F.min_by(F.struct("scale", "x", "y", "_score"), F.struct((-F.col("_score")).alias("s"), "turn"))
-    return crops.withColumn("_score", score).groupBy(*keys).agg(best.alias("b")).select(*keys, "b.scale", "b.x", "b.y", F.col("b._score").alias("score"))
+    dealt = images.repartition(*keys, "w", "h")  # a small file's rows make many windows
+    own = dealt.select(*keys, F.array_min(F.array(*[best(float(k)) for k in scales])).alias("_b"))
+    first = own.groupBy(*keys).agg(F.min("_b").alias("b")).filter("b IS NOT NULL")
+    return first.select(*keys, (-F.col("b.scale")).alias("scale"), "b.x", "b.y", (-F.col("b.s")).alias("score"))
 
 
 def left_to_right(boxes: Column) -> Column:

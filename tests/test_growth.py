@@ -1,8 +1,14 @@
 """Queries on more rows of a key, larger groups and odd rows than the small tables have."""
 
 import math
+import sys
+from pathlib import Path
 
-from curafold.catalogue import QUERIES
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from compare import differences
+
+from curafold.catalogue import QUERIES, SQL
 
 
 def test_psnr_rows_of_large_groups(spark, tmp_path):
@@ -13,3 +19,12 @@ def test_psnr_rows_of_large_groups(spark, tmp_path):
     for d in range(10, 43):
         exact = math.fsum(math.sqrt(x * x + 1e-12) for x in (0, d) for _ in range(60)) / 120
         assert (got[d].charbonnier, got[d].l1, got[d].mse) == (round(exact, 6), d / 2, d * d / 2), d
+
+
+def test_crop_candidates_are_compared_in_their_rows(spark, tmp_path):
+    # sizes too small for one or both scales, no size, no key, and a key with several sizes
+    rows = [(k, n) for k, n in enumerate(range(-30, 60))] + [(5, 49), (5, 20), (5, None), (None, 7), (None, 9), (200, None)]
+    spark.createDataFrame(rows, "p_partkey long, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    assert not differences(spark, str(tmp_path), "crop_candidates", QUERIES["crop_candidates"], SQL["crop_candidates"])
+    plan = QUERIES["crop_candidates"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan  # no row for each window, so none is sorted
