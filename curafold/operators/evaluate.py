@@ -106,25 +106,74 @@ def fitness(*metrics: Column) -> Column:
     return metrics[2] * 0.1 + metrics[3] * 0.9
 
 
+def greedy(starts: np.ndarray, rows: int, goes, most: int | None = None) -> np.ndarray:
+    """Which of a number of rows are kept, group by group: the first row is, and those that go because of it are out, and so on, `most` times.
+
+    starts: the place of each group's first row; goes(k, i): whether the rows at places k go because of those at i. A round
+    takes one row of every group that has any left, so its cost is shared by all groups."""
+    kept, left = np.zeros(rows, dtype=bool), np.arange(rows)
+    group = np.repeat(np.arange(len(starts)), np.diff(starts, append=rows))
+    rounds = 0
+    while len(left) and rounds != most:
+        first = np.diff(group[left], prepend=-1) != 0
+        best = left[first]
+        kept[best] = True
+        i, left = best[np.cumsum(first) - 1][~first], left[~first]
+        left = left[~goes(left, i)]
+        rounds += 1
+    return kept
+
+
+def _sides(boxes: np.ndarray):
+    return [np.ascontiguousarray(boxes[:, k], dtype=float) for k in range(4)]
+
+
+def _covers(boxes: np.ndarray, overlap: float):
+    """goes() on whole pixels: the first box is covered by more than `overlap` of its area."""
+    x1, y1, x2, y2 = _sides(boxes)
+    sizes = (x2 - x1 + 1) * (y2 - y1 + 1)
+    side = lambda low, high, k, i: np.clip(np.minimum(high[k], high[i]) - np.maximum(low[k], low[i]) + 1, 0, None)
+
+    def goes(k, i):
+        with np.errstate(all="ignore"):
+            return ~(side(x1, x2, k, i) * side(y1, y2, k, i) / sizes[k] <= overlap)
+
+    return goes
+
+
+def _overlaps(boxes: np.ndarray, overlap: float):
+    """goes() by intersection over union."""
+    x1, y1, x2, y2 = _sides(boxes)
+    sizes = (x2 - x1) * (y2 - y1)
+    side = lambda low, high, k, i: np.clip(np.minimum(high[k], high[i]) - np.maximum(low[k], low[i]), 0, None)
+
+    def goes(k, i):
+        with np.errstate(all="ignore"):
+            both = side(x1, x2, k, i) * side(y1, y2, k, i)
+            return both / (sizes[k] + sizes[i] - both) > overlap
+
+    return goes
+
+
+def _boxes(g: dict) -> np.ndarray:
+    return np.column_stack([g[c] for c in ("x1", "y1", "x2", "y2")]).astype(float)
+
+
 def plain_nms(boxes: np.ndarray, scores: np.ndarray, overlap: float = 0.3) -> list[int]:
     """Places kept, best first, on whole pixels: a box goes if a kept one covers more than `overlap` of it. Later rows win ties."""
-    widths = boxes[:, 2:] - boxes[:, :2] + 1
-    order, kept = np.lexsort((np.arange(len(scores)), scores))[::-1], []
-    for i in order.tolist():
-        cover = [np.prod(np.clip(np.minimum(boxes[i, 2:], boxes[k, 2:]) - np.maximum(boxes[i, :2], boxes[k, :2]) + 1, 0, None)) / np.prod(widths[i]) for k in kept]
-        if not cover or max(cover) <= overlap:
-            kept.append(i)
-    return kept
+    order = np.lexsort((np.arange(len(scores)), scores))[::-1]
+    return order[greedy(np.array([0]), len(order), _covers(boxes[order], overlap))].tolist()
 
 
 def suppress_plain(detections: DataFrame, overlap: float = 0.3) -> DataFrame:
     """Detections that survive plain_nms in each image, whatever their class."""
 
-    def run(g: dict) -> dict:
-        kept = plain_nms(np.column_stack([g[c] for c in ("x1", "y1", "x2", "y2")]).astype(float), g["conf"].astype(float), overlap)
+    def run(g: dict, starts: np.ndarray) -> dict:
+        kept = greedy(starts, len(g["conf"]), _covers(_boxes(g), overlap))
         return {c: x[kept] for c, x in g.items()}
 
-    return by_group(detections, ["image"], ["det"], run, detections.schema.simpleString()[7:-1].replace(":", " "))
+    best = F.desc(F.coalesce(F.col("conf").cast("double"), F.lit(float("nan"))))
+    return by_group(detections, ["image"], [best, F.desc("det")], run, detections.schema.simpleString()[7:-1].replace(":", " "))
 
 
 def blocking(image: np.ndarray, block: int = 8) -> float:
@@ -172,42 +221,36 @@ METRICS = {"psnr_b": psnr_b, "ssim": ssim}
 
 def nms(boxes: np.ndarray, scores: np.ndarray, overlap: float, most: int = 300) -> list[int]:
     """Places kept, best first: a box goes if it overlaps a kept one by more than `overlap`."""
-    order, kept = list(np.argsort(-scores, kind="stable")), []
-    sizes = (boxes[:, 2] - boxes[:, 0]) * (boxes[:, 3] - boxes[:, 1])
-    alive = np.ones(len(scores), dtype=bool)
-    for i in order:
-        if alive[i]:
-            kept.append(int(i))
-            if len(kept) == most:
-                break
-            side = lambda k, i=i: np.clip(np.minimum(boxes[:, k + 2], boxes[i, k + 2]) - np.maximum(boxes[:, k], boxes[i, k]), 0, None)
-            both = side(0) * side(1)
-            alive &= ~(both / (sizes + sizes[i] - both) > overlap)
-    return kept
+    order = np.argsort(-scores, kind="stable")
+    return order[greedy(np.array([0]), len(order), _overlaps(boxes[order], overlap), most)].tolist()
+
+
+#: Rows that by_group gives to one call, at least.
+CALL_ROWS = 200_000
 
 
 def by_group(df: DataFrame, keys: list[str], order: list, run, schema: str) -> DataFrame:
-    """run(columns of one group as arrays, in order) gives a dict of result arrays. Groups are streamed from sorted
-    partitions, which costs microseconds a group; a group that goes over a batch's end waits for the rest."""
+    """run(columns of some whole groups as arrays, in order, and the places of the groups' first rows) gives a dict of result
+    arrays, or None. Groups are streamed from sorted partitions, many a call; a group that goes over a call's end waits for the rest."""
 
     def stream(batches):
-        def groups(pdf, last):
-            place = pdf[keys].ne(pdf[keys].shift()).any(axis=1).to_numpy()
-            cuts = [*np.flatnonzero(place).tolist(), len(pdf)]
-            stop = len(cuts) - 1 if last else len(cuts) - 2
-            columns = {c: pdf[c].to_numpy() for c in pdf.columns}
-            found = [run({c: x[a:b] for c, x in columns.items()}) for a, b in zip(cuts[:stop], cuts[1:], strict=False)]
-            found = [f for f in found if f is not None]
-            out = pd.DataFrame({c: np.concatenate([f[c] for f in found]) for c in found[0]}) if found else None
-            return out, pdf.iloc[cuts[stop] :]
-
-        held = None
+        def called(pdf, last):
+            starts = np.flatnonzero(pdf[keys].ne(pdf[keys].shift()).any(axis=1).to_numpy())
+            stop = len(pdf) if last else int(starts[-1])
+            out = run({c: pdf[c].to_numpy()[:stop] for c in pdf.columns}, starts[starts < stop]) if stop else None
+            return None if out is None else pd.DataFrame(out), pdf.iloc[stop:]
+
+        held, rows, enough = [], 0, CALL_ROWS
         for pdf in batches:
-            out, held = groups(pdf if held is None else pd.concat([held, pdf], ignore_index=True), False)
-            if out is not None:
-                yield out
-        if held is not None and len(held):
-            out, _ = groups(held, True)
+            held.append(pdf)
+            rows += len(pdf)
+            if rows >= enough:
+                out, rest = called(pd.concat(held, ignore_index=True), False)
+                held, rows, enough = [rest], len(rest), max(CALL_ROWS, 2 * len(rest))
+                if out is not None:
+                    yield out
+        if rows:
+            out, _ = called(pd.concat(held, ignore_index=True), True)
             if out is not None:
                 yield out
 
@@ -217,67 +260,101 @@ def by_group(df: DataFrame, keys: list[str], order: list, run, schema: str) -> D
 def suppress(detections: DataFrame, overlap: float = 0.45, confidence: float = 0.25, most: int = 300) -> DataFrame:
     """Detections that survive greedy suppression in each image and class, at most `most` of an image."""
 
-    def run(g: dict) -> dict:
-        kept = nms(np.column_stack([g[c] for c in ("x1", "y1", "x2", "y2")]).astype(float), g["conf"].astype(float), overlap, most)
+    def run(g: dict, starts: np.ndarray) -> dict:
+        n, cls = len(g["conf"]), pd.Series(g["cls"])
+        new = cls.ne(cls.shift()).to_numpy()
+        new[starts] = True
+        kept = np.flatnonzero(greedy(np.flatnonzero(new), n, _overlaps(_boxes(g), overlap), most))
+        image = np.searchsorted(starts, kept, side="right")
+        many = np.bincount(image, minlength=len(starts) + 1) > most
+        if many.any():
+            rank = pd.DataFrame({"i": image, "conf": g["conf"][kept], "det": g["det"][kept]})[many[image]]
+            rank = rank.sort_values(["conf", "det"], ascending=[False, True], na_position="first", kind="stable").groupby("i").cumcount()
+            kept = np.delete(kept, rank.index[rank >= most].to_numpy())
         return {c: x[kept] for c, x in g.items()}
 
     sure = detections.filter(F.col("conf") > confidence)
-    kept = by_group(sure, ["image", "cls"], [F.desc("conf"), "det"], run, sure.schema.simpleString()[7:-1].replace(":", " "))
-    rank = F.row_number().over(W.partitionBy("image").orderBy(F.desc("conf"), "det"))
-    return kept.withColumn("_n", rank).filter(F.col("_n") <= most).drop("_n")
+    best = F.desc(F.when(~F.isnan("conf"), F.col("conf")))  # in its class, what is no number comes last
+    return by_group(sure, ["image"], ["cls", best, "det"], run, sure.schema.simpleString()[7:-1].replace(":", " "))
+
+
+def assignments(cost: np.ndarray) -> np.ndarray:
+    """The column of each row, or -1, in the one-to-one pairs of the least total cost, for each of many problems of one shape
+    (shortest augmenting paths with potentials). cost: problems, rows, columns. The problems take their steps together."""
+    many, rows, cols = cost.shape
+    if rows > cols:
+        flipped, out = assignments(cost.transpose(0, 2, 1)), np.full((many, rows), -1)
+        out[np.arange(many)[:, None], flipped] = np.arange(cols)
+        return out
+    u, v = np.zeros((many, rows)), np.zeros((many, cols))
+    owner, mate = np.full((many, cols), -1), np.full((many, rows), -1)
+    for start in range(rows):
+        shortest, via, done = np.full((many, cols), np.inf), np.full((many, cols), -1), np.zeros((many, cols), dtype=bool)
+        low, sink = np.zeros(many), np.full(many, -1)
+        live, i = np.arange(many), np.full(many, start)
+        while len(live):
+            gap = low[live, None] + cost[live, i] - u[live, i][:, None] - v[live]
+            near, closed = shortest[live], done[live]
+            better = ~closed & (gap < near)
+            near = np.where(better, gap, near)
+            shortest[live], via[live] = near, np.where(better, i[:, None], via[live])
+            j = np.where(closed, np.inf, near).argmin(axis=1)
+            low[live], done[live, j] = near[np.arange(len(live)), j], True
+            taken = owner[live, j]
+            sink[live] = j
+            live, i = live[taken >= 0], taken[taken >= 0]
+        u[:, start] += low
+        p, j = np.nonzero(done & (owner >= 0))
+        u[p, owner[p, j]] += low[p] - shortest[p, j]
+        p, j = np.nonzero(done)
+        v[p, j] -= low[p] - shortest[p, j]
+        p, j = np.arange(many), sink
+        while len(p):
+            i = via[p, j]
+            before = mate[p, i]
+            owner[p, j], mate[p, i] = i, j
+            p, j = p[i != start], before[i != start]
+    return mate
 
 
 def assignment(cost: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of rows and columns of the least total cost (shortest augmenting paths with potentials)."""
-    flip = cost.shape[0] > cost.shape[1]
-    c = cost.T if flip else cost
-    rows, cols = c.shape
-    u, v, owner = np.zeros(rows), np.zeros(cols), np.full(cols, -1)
-    for start in range(rows):
-        shortest, via, done = np.full(cols, np.inf), np.full(cols, -1), np.zeros(cols, dtype=bool)
-        i, low, sink = start, 0.0, -1
-        reached = [start]
-        while sink < 0:
-            gap = low + c[i] - u[i] - v
-            better = ~done & (gap < shortest)
-            shortest[better], via[better] = gap[better], i
-            j = int(np.where(done, np.inf, shortest).argmin())
-            low, done[j] = float(shortest[j]), True
-            if owner[j] < 0:
-                sink = j
-            else:
-                i = int(owner[j])
-                reached.append(i)
-        u[start] += low
-        for r in reached[1:]:
-            u[r] += low - shortest[np.flatnonzero(owner == r)[0]]
-        v[done] -= low - shortest[done]
-        j = sink
-        while True:
-            i = int(via[j])
-            before = np.flatnonzero(owner == i)
-            owner[j] = i
-            if i == start:
-                break
-            j = int(before[before != j][0])
-    pairs = [(int(i), j) for j, i in enumerate(owner) if i >= 0]
-    return sorted((j, i) if flip else (i, j) for i, j in pairs)
+    """Pairs of rows and columns of the least total cost."""
+    return [(i, int(j)) for i, j in enumerate(assignments(cost[None])[0]) if j >= 0]
 
 
-def attach(parts: DataFrame, instances: DataFrame) -> DataFrame:
-    """image, part, instance, distance: the one-to-one assignment of the least total distance in each image."""
+#: Costs that attach holds at once, unless one image has more.
+COSTS = 2_000_000
+
 
-    def run(g: dict) -> dict | None:
-        a, b = (np.flatnonzero(g["side"] == k) for k in (0, 1))
-        if not len(a) or not len(b):
+def attach(parts: DataFrame, instances: DataFrame) -> DataFrame:
+    """image, part, instance, distance: the one-to-one assignment of the least total distance in each image.
+
+    A point without both coordinates has no distance to any other and is not attached."""
+
+    def run(g: dict, starts: np.ndarray) -> dict | None:
+        x, y = g["x"].astype(float), g["y"].astype(float)
+        n = np.add.reduceat((g["side"] == 0).astype(int), starts)
+        shape = np.column_stack([n, np.diff(starts, append=len(x)) - n])
+        found = []
+        for a, b in np.unique(shape[shape.min(axis=1) > 0], axis=0).tolist():
+            same = starts[(shape == (a, b)).all(axis=1)]
+            step = max(1, COSTS // (a * b))
+            for own in (same[k : k + step] for k in range(0, len(same), step)):
+                p, q = own[:, None] + np.arange(a), own[:, None] + a + np.arange(b)
+                cost = np.hypot(x[p][:, :, None] - x[q][:, None, :], y[p][:, :, None] - y[q][:, None, :])
+                column = assignments(cost)
+                k, i = np.nonzero(column >= 0)
+                j = column[k, i]
+                found.append((p[k, i], q[k, j], cost[k, i, j]))
+        if not found:
             return None
-        cost = np.hypot(g["x"][a][:, None] - g["x"][b], g["y"][a][:, None] - g["y"][b])
-        i, j = map(np.array, zip(*assignment(cost), strict=True))
-        return {"image": g["image"][a][i], "part": g["id"][a][i], "instance": g["id"][b][j], "distance": cost[i, j]}
+        p, q, distance = map(np.concatenate, zip(*found, strict=True))
+        return {"image": g["image"][p], "part": g["id"][p], "instance": g["id"][q], "distance": distance}
 
     columns = ["image", "id", "x", "y"]
     both = parts.select(*columns, F.lit(0).alias("side")).union(instances.select(*columns, F.lit(1)))
-    return by_group(both, ["image"], ["side", "id"], run, "image long, part long, instance long, distance double")
+    placed = both.filter(~F.isnan(F.coalesce(F.col("x").cast("double") + F.col("y").cast("double"), F.lit(float("nan")))))
+    return by_group(placed, ["image"], ["side", "id"], run, "image long, part long, instance long, distance double")
 
 
 def mean(x: Column) -> Column:

@@ -1,14 +1,17 @@
 """Queries on more rows of a key, larger groups and odd rows than the small tables have."""
 
+import itertools
 import math
 import sys
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+import numpy as np
 from compare import differences
 
 from curafold.catalogue import QUERIES, SQL
+from curafold.operators import evaluate as E
 
 
 def test_psnr_rows_of_large_groups(spark, tmp_path):
@@ -28,3 +31,45 @@ def test_crop_candidates_are_compared_in_their_rows(spark, tmp_path):
     assert not differences(spark, str(tmp_path), "crop_candidates", QUERIES["crop_candidates"], SQL["crop_candidates"])
     plan = QUERIES["crop_candidates"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan  # no row for each window, so none is sorted
+
+
+def _detections(rng, n, images):
+    low = rng.integers(0, 30, (n, 2))
+    boxes = np.column_stack([low, low + rng.integers(1, 25, (n, 2))]).astype(float).tolist()
+    return [(int(i), k, int(c), float(s), *b) for k, (i, c, s, b) in enumerate(zip(rng.integers(0, images, n), rng.integers(0, 3, n), rng.integers(1, 20, n) / 20, boxes, strict=True))]
+
+
+_DETECTIONS = "image long, det long, cls long, conf double, x1 double, y1 double, x2 double, y2 double"
+
+
+def test_images_take_their_suppression_together(spark):
+    rows = _detections(np.random.default_rng(6), 2000, 300)
+    rounds = []
+    goes = lambda k, i: rounds.append(len(k)) or np.zeros(len(k), dtype=bool)
+    starts = np.arange(0, 9000, 3)
+    assert E.greedy(starts, 9000, goes).all() and rounds == [6000, 3000, 0]  # a round for all groups, not one for each
+    first = E.greedy(starts, 9000, goes, 2)
+    assert np.flatnonzero(~first).tolist() == list(range(2, 9000, 3))
+    want = set()
+    for _, own in itertools.groupby(sorted(rows, key=lambda r: (r[0], r[2], -r[3], r[1])), key=lambda r: (r[0], r[2])):
+        kept = []
+        for r in own:
+            area = lambda b: (b[2] - b[0]) * (b[3] - b[1])
+            both = lambda a, b: max(min(a[2], b[2]) - max(a[0], b[0]), 0) * max(min(a[3], b[3]) - max(a[1], b[1]), 0)
+            if r[3] > 0.25 and all(both(r[4:], k[4:]) / (area(r[4:]) + area(k[4:]) - both(r[4:], k[4:])) <= 0.45 for k in kept):
+                kept.append(r)
+        want |= set(kept)
+    assert sorted(map(tuple, E.suppress(spark.createDataFrame(rows, _DETECTIONS)).collect())) == sorted(want)
+
+
+def test_at_most_so_many_boxes_of_an_image(spark):
+    rows = [(i, k, k % 3, (k % 50 + 20) / 80, 20.0 * k, 0.0, 20.0 * k + 9, 9.0) for i in (1, 2) for k in range(400 if i == 1 else 30)]
+    want = [r for i in (1, 2) for r in sorted((r for r in rows if r[0] == i and r[3] > 0.25), key=lambda r: (-r[3], r[1]))[:25]]
+    assert sorted(map(tuple, E.suppress(spark.createDataFrame(rows, _DETECTIONS), most=25).collect())) == sorted(want)
+
+
+def test_groups_longer_than_a_call(spark):
+    run = lambda g, starts: {"k": g["k"][starts], "n": np.add.reduceat(g["id"] * 0 + 1, starts)}
+    sizes = {0: 3, 1: E.CALL_ROWS * 2 + 7, 2: 1, 3: E.CALL_ROWS - 1}
+    df = spark.range(E.CALL_ROWS * 4).selectExpr("id", f"CASE WHEN id < 3 THEN 0 WHEN id < {3 + sizes[1]} THEN 1 WHEN id < {4 + sizes[1]} THEN 2 ELSE 3 END AS k").filter(f"id < {sum(sizes.values())}")
+    assert {r.k: r.n for r in E.by_group(df, ["k"], ["id"], run, "k int, n long").collect()} == sizes
