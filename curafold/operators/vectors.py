@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -157,7 +160,10 @@ def clustered(df: DataFrame, vector: str, k: int, method: str = "kmeans", seed:
 
 
 def cluster_costs(df: DataFrame, vector: str, ks: list[int]) -> DataFrame:
-    rows = [(k, clustered(df, vector, k)[1]) for k in ks]
+    """k, cost. A fit is hundreds of short passes, one after another; the fits are independent and run side by side."""
+    fit = inheritable_thread_target(lambda k: (k, clustered(df, vector, k)[1]))
+    with ThreadPoolExecutor(max(len(ks), 1)) as pool:
+        rows = list(pool.map(fit, ks))
     return df.sparkSession.createDataFrame(rows, "k int, cost double")
 
 

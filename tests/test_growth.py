@@ -3,6 +3,7 @@
 import itertools
 import math
 import sys
+import threading
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -12,6 +13,7 @@ from compare import differences
 
 from curafold.catalogue import QUERIES, SQL
 from curafold.operators import evaluate as E
+from curafold.operators import vectors as V
 
 
 def test_psnr_rows_of_large_groups(spark, tmp_path):
@@ -73,3 +75,9 @@ def test_groups_longer_than_a_call(spark):
     sizes = {0: 3, 1: E.CALL_ROWS * 2 + 7, 2: 1, 3: E.CALL_ROWS - 1}
     df = spark.range(E.CALL_ROWS * 4).selectExpr("id", f"CASE WHEN id < 3 THEN 0 WHEN id < {3 + sizes[1]} THEN 1 WHEN id < {4 + sizes[1]} THEN 2 ELSE 3 END AS k").filter(f"id < {sum(sizes.values())}")
     assert {r.k: r.n for r in E.by_group(df, ["k"], ["id"], run, "k int, n long").collect()} == sizes
+
+
+def test_fits_run_side_by_side(spark, monkeypatch):
+    together = threading.Barrier(3, timeout=20)
+    monkeypatch.setattr(V, "clustered", lambda df, vector, k: (together.wait(), float(k)))
+    assert [tuple(r) for r in V.cluster_costs(spark.range(3), "v", [2, 4, 8]).collect()] == [(2, 2.0), (4, 4.0), (8, 8.0)]
