@@ -81,3 +81,21 @@ def test_fits_run_side_by_side(spark, monkeypatch):
     together = threading.Barrier(3, timeout=20)
     monkeypatch.setattr(V, "clustered", lambda df, vector, k: (together.wait(), float(k)))
     assert [tuple(r) for r in V.cluster_costs(spark.range(3), "v", [2, 4, 8]).collect()] == [(2, 2.0), (4, 4.0), (8, 8.0)]
+
+
+def test_images_of_one_shape_are_assigned_together(spark):
+    rng = np.random.default_rng(7)
+    for rows, cols in itertools.product(range(1, 5), repeat=2):
+        cost = rng.integers(0, 6, (40, rows, cols)).astype(float)  # many ties
+        for c, own in zip(cost, E.assignments(cost), strict=True):
+            pairs = [(i, int(j)) for i, j in enumerate(own) if j >= 0]
+            flat = c if rows <= cols else c.T
+            best = min(sum(flat[i, p[i]] for i in range(len(flat))) for p in itertools.permutations(range(flat.shape[1]), len(flat)))
+            assert len({j for _, j in pairs}) == len(pairs) == min(rows, cols) and sum(c[p] for p in pairs) == best
+
+
+def test_points_without_a_place_are_not_attached(spark):
+    parts = [(1, 10, 0.0, 0.0), (1, 11, None, 1.0), (1, 12, 5.0, 0.0), (2, 13, 1.0, None), (3, 14, 0.0, 0.0), (4, 15, 0.0, float("nan"))]
+    instances = [(1, 20, 5.0, 1.0), (1, 21, 0.0, 2.0), (1, 22, None, None), (2, 23, 0.0, 0.0), (4, 24, 0.0, 0.0), (5, 25, 0.0, 0.0)]
+    points = lambda rows: spark.createDataFrame(rows, "image long, id long, x double, y double")
+    assert sorted(map(tuple, E.attach(points(parts), points(instances)).collect())) == [(1, 10, 21, 2.0), (1, 12, 20, 1.0)]
