@@ -99,3 +99,20 @@ def test_points_without_a_place_are_not_attached(spark):
     instances = [(1, 20, 5.0, 1.0), (1, 21, 0.0, 2.0), (1, 22, None, None), (2, 23, 0.0, 0.0), (4, 24, 0.0, 0.0), (5, 25, 0.0, 0.0)]
     points = lambda rows: spark.createDataFrame(rows, "image long, id long, x double, y double")
     assert sorted(map(tuple, E.attach(points(parts), points(instances)).collect())) == [(1, 10, 21, 2.0), (1, 12, 20, 1.0)]
+
+
+def test_images_take_their_plain_suppression_together(spark):
+    rows = _detections(np.random.default_rng(8), 1500, 200)
+    calls = []
+    covers = E._covers(np.array([r[4:] for r in rows]), 0.3)
+    E.greedy(np.arange(0, 1500, 5), 1500, lambda k, i: calls.append(len(k)) or covers(k, i))
+    assert calls[0] == 1200 and len(calls) <= 5  # a call a round, for all groups
+    want = []
+    for _, own in itertools.groupby(sorted(rows, key=lambda r: (r[0], -r[3], -r[1])), key=lambda r: r[0]):
+        kept = []
+        for r in own:
+            side = lambda k, c: max(min(r[k + 2], c[k + 2]) - max(r[k], c[k]) + 1, 0)  # noqa: B023, E731
+            if all(side(4, c) * side(5, c) / ((r[6] - r[4] + 1) * (r[7] - r[5] + 1)) <= 0.3 for c in kept):
+                kept.append(r)
+        want += kept
+    assert sorted(map(tuple, E.suppress_plain(spark.createDataFrame(rows, _DETECTIONS)).collect())) == sorted(want)
